@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from topicloom.functions import text as tx
+from topicloom.sources.files import spread_if_few
 
 FIRST_DAY = "2026-06-15"
 
@@ -39,7 +40,7 @@ def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables(spark, sf_dir, "documents")[0]
+    return spread_if_few(tables(spark, sf_dir, "documents")[0], "doc_id")
 
 
 def prompts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,7 +153,7 @@ text_oracle(
     "title_case",
     "array_to_string(list_transform("
     + found(T, r"\pL+|[^\pL]+")
-    + ", lambda p: upper(p[1]) || lower(p[2:])), '')",
+    + ", lambda p: (CASE WHEN p[1] = 'ß' THEN 'Ss' ELSE upper(p[1]) END) || lower(p[2:])), '')",
 )
 ORACLE["ordered_distinct_words"] = f"""{with_(PROMPTS, ("k", f"SELECT prompt_id, {words_of(T)} AS a FROM prompts"))}
 SELECT prompt_id, array_to_string(list_filter(a, lambda x, i: list_position(a, x) = i), ' ') AS value FROM k"""
@@ -435,3 +435,346 @@ SELECT count(*) AS n_prompts, count(*) FILTER (route <> 'other') AS n_routed,
        round(avg(CASE WHEN route <> 'other' THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_routed,
        round(avg(CASE WHEN route = 'other' THEN 1.0 ELSE 0.0 END) * 100, 6) AS pct_other
 FROM labelled"""
+
+# --- reports and sinks --------------------------------------------------------
+
+ORACLE["category_counts"] = f"""{with_(*ROUTED)}
+SELECT {LABELS}, count(*) AS "Count",
+       CAST(sum(count(*)) OVER (PARTITION BY category_id) AS BIGINT) AS "Total count for category"
+FROM labelled GROUP BY {LABELS}"""
+ORACLE["category_totals"] = f"{with_(*ROUTED)} SELECT category_id, count(*) AS n FROM labelled GROUP BY 1"
+ORACLE["category_rollup"] = f"""{with_(*ROUTED)}
+SELECT category_id, subcategory_id, count(*) AS n FROM labelled GROUP BY category_id, subcategory_id
+UNION ALL SELECT category_id, NULL, count(*) FROM labelled GROUP BY category_id
+UNION ALL SELECT NULL, NULL, count(*) FROM labelled"""
+
+_GATED = f"NOT ({SIGNATURE} OR {MOJIBAKE} OR {GARBAGE_WORD} OR {MANY})"
+_DAILY_PREPARED = (
+    "prepared",
+    f"SELECT prompt_id, raw_text, date, cut AS truncated_prompt, {normal('cut')} AS processed_text "
+    f"FROM (SELECT *, {truncated(T)} AS cut FROM routed WHERE language = 'en' AND {_GATED})",
+)
+_DAILY = [*ROUTED_LANGUAGES, _DAILY_PREPARED, *[c for c in ROUTED if c[0] not in ("prompts", "prepared")]]
+ORACLE["daily_counts"] = f"""{with_(*_DAILY)}
+SELECT date, category_name AS category, subcategory_name AS sub_category, count(*) AS count
+FROM labelled GROUP BY ALL"""
+ORACLE["daily_ingest"] = ORACLE["daily_counts"]
+_REASON = (
+    f"CASE WHEN {SIGNATURE} THEN 'signature' WHEN {MOJIBAKE} THEN 'mojibake' "
+    f"WHEN {GARBAGE_WORD} THEN 'garbage_word' WHEN {MANY} THEN 'non_ascii' ELSE 'kept' END"
+)
+ORACLE["upsert_daily_counts"] = f"""{with_(PROMPTS,
+    ("before", f"SELECT date, lang AS category, {_REASON} AS sub_category, count(*) AS n FROM prompts GROUP BY ALL"),
+    ("kept", f"SELECT date, lang, count(*) * 2 AS n FROM prompts WHERE {_GATED} GROUP BY ALL"),
+    ("after", "SELECT date, lang AS category, 'kept' AS sub_category, n FROM kept UNION ALL "
+              "SELECT date, 'all', 'kept', sum(n) FROM kept GROUP BY date"))}
+SELECT date, category, sub_category, CAST(n AS BIGINT) AS count FROM after
+UNION ALL SELECT date, category, sub_category, n FROM before
+WHERE (date, category, sub_category) NOT IN (SELECT (date, category, sub_category) FROM after)"""
+
+
+def stripped(text: str) -> str:
+    return sub(sub(text, f"^[{S}]+", ""), f"[{S}]+$", "")
+
+
+_LINES = (
+    "SELECT doc_id, CAST(pos AS INTEGER) AS pos, " + stripped("a[pos + 1]") + " AS raw_text FROM "
+    "(SELECT doc_id, a, unnest(range(len(a))) AS pos FROM "
+    "(SELECT doc_id, string_split(body, chr(10)) AS a FROM src))"
+)
+ORACLE["scan_prompts"] = f"""{with_(("src", "SELECT doc_id, text AS body FROM documents"),
+    ("l", _LINES))} SELECT doc_id, pos, raw_text FROM l WHERE raw_text <> ''"""
+ORACLE["skip_header"] = f"""{with_(
+    ("src", "SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN 'Prompt_text' || chr(10) "
+            "WHEN 1 THEN ' ' || chr(10) || 'prompt text' || chr(10) ELSE '' END || text AS body FROM documents"),
+    ("l", _LINES))}
+SELECT doc_id, pos, raw_text FROM
+  (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS r FROM l WHERE raw_text <> '')
+WHERE NOT (r = 1 AND contains(lower(raw_text), 'prompt') AND NOT contains(raw_text, ' '))"""
+ORACLE["csv_roundtrip"] = f"""{with_(PROMPTS)}
+SELECT prompt_id, 'say "' || raw_text || '", then' AS raw_text FROM prompts"""
+ORACLE["date_from_filename"] = f"""
+SELECT doc_id, DATE '{fx.FIRST_DAY}' + CAST(doc_id % 7 AS INTEGER) AS date FROM documents"""
+
+# --- quality ------------------------------------------------------------------
+
+_DRAW = "md5(prompt_id || ':42')"
+HITS = ("hit_rows", "SELECT * FROM labelled WHERE route <> 'other'")
+_STRATA = (
+    "strata",
+    f"SELECT *, {_DRAW} AS draw FROM hit_rows QUALIFY row_number() OVER "
+    f"(PARTITION BY subcategory_name ORDER BY {_DRAW}, prompt_id) <= 5",
+)
+ORACLE["stratified_sample"] = f"""{with_(*ROUTED, HITS, _STRATA)}
+SELECT prompt_id, subcategory_name, truncated_prompt FROM strata"""
+ORACLE["golden_set"] = f"""{with_(*ROUTED, HITS, _STRATA)}
+SELECT truncated_prompt AS prompt, category_name, subcategory_name, CAST(NULL AS INTEGER) AS "{fv.GRADE_COLUMN}"
+FROM strata ORDER BY draw, prompt_id LIMIT 150"""
+ORACLE["math_sample"] = f"""{with_(PROMPTS, PREPARED)}
+SELECT prompt_id, truncated_prompt FROM prepared ORDER BY {_DRAW}, prompt_id LIMIT 1000"""
+_GRADED = (
+    "graded",
+    "SELECT prompt_id, lower(raw_text || "
+    + arr([" " + a for a, _, _ in fv.GRADE_RULES] + [""])
+    + "[prompt_id % 8 + 1]) AS p, lower(['Error Codes', 'Risk', 'Amex API'][prompt_id % 3 + 1]) AS s FROM prompts",
+)
+_GRADE = "CAST(CASE WHEN contains(p, 'lounge') AND contains(s, 'error') THEN 0 ELSE 1 END AS INTEGER)"
+ORACLE["auto_grade"] = f"{with_(PROMPTS, _GRADED)} SELECT prompt_id, {_GRADE} AS grade FROM graded"
+ORACLE["golden_accuracy"] = f"""{with_(PROMPTS, _GRADED)}
+SELECT count(*) AS n_rows, count(g) AS n_graded, round(avg(g), 6) AS accuracy, count(g) = 0 AS ungraded
+FROM (SELECT CASE WHEN prompt_id % 5 <> 0 THEN {_GRADE} END AS g FROM graded)"""
+
+PURITY = [
+    *ROUTED,
+    HITS,
+    ("q_counts", counted("prompt_id", "truncated_prompt", "hit_rows", 1)),
+    ("q_vocab", vocab("q_counts", "hit_rows", 5000)),
+    ("q_weights", weighed("q_counts", "q_vocab", "prompt_id", False)),
+    ("q_sizes", "SELECT subcategory_name, count(*) AS n FROM hit_rows GROUP BY 1"),
+    (
+        "q_centroids",
+        "SELECT subcategory_name, term, sum(weight) / any_value(n) AS weight, any_value(n) AS n "
+        "FROM q_weights JOIN hit_rows USING (prompt_id) JOIN q_sizes USING (subcategory_name) GROUP BY 1, 2",
+    ),
+    ("q_lengths", "SELECT subcategory_name, sqrt(sum(weight * weight)) AS len FROM q_centroids GROUP BY 1"),
+    (
+        "q_cosines",
+        "SELECT prompt_id, subcategory_name, sum(w.weight * c.weight) / any_value(len) AS cosine FROM q_weights w "
+        "JOIN hit_rows USING (prompt_id) JOIN q_centroids c USING (subcategory_name, term) "
+        "JOIN q_lengths USING (subcategory_name) GROUP BY 1, 2",
+    ),
+    (
+        "q_purity",
+        "SELECT subcategory_name, round(avg(1 - coalesce(cosine, 0)), 6) AS distance, count(*) AS n "
+        "FROM hit_rows LEFT JOIN q_cosines USING (prompt_id, subcategory_name) GROUP BY 1 HAVING count(*) >= 5",
+    ),
+]
+ORACLE["class_centroids"] = f"""{with_(*PURITY)}
+SELECT subcategory_name, term, round(weight, 6) AS weight, n FROM q_centroids"""
+ORACLE["class_purity"] = f"{with_(*PURITY)} SELECT subcategory_name, distance, n FROM q_purity"
+ORACLE["purity_top5"] = f"""{with_(*PURITY)}
+SELECT subcategory_name, distance, n, distance > 0.85 AS drift FROM q_purity
+ORDER BY distance DESC, subcategory_name LIMIT 5"""
+ORACLE["top_terms_per_class"] = f"""{with_(*PURITY)}
+SELECT subcategory_name, coalesce(terms, 'empty_cluster') AS terms FROM q_sizes LEFT JOIN
+  (SELECT subcategory_name, string_agg(term, '_' ORDER BY r) AS terms FROM
+     (SELECT *, row_number() OVER (PARTITION BY subcategory_name ORDER BY round(weight, 9) DESC, term) AS r
+      FROM q_centroids) WHERE r <= 2 GROUP BY 1) USING (subcategory_name)"""
+ORACLE["centroid_route"] = f"""{with_(*ROUTED,
+    ("v", vocab("p_counts", "prepared", 10000)), ("w", weighed("p_counts", "v", "prompt_id")),
+    ("sure", "SELECT prompt_id, tax_idx FROM hits WHERE score >= 0.15"),
+    ("c", "SELECT tax_idx, term, sum(weight) AS s FROM w JOIN sure USING (prompt_id) GROUP BY ALL"),
+    ("cn", "SELECT tax_idx, term, s / sqrt(sum(s * s) OVER (PARTITION BY tax_idx)) AS s FROM c"),
+    ("sims", "SELECT prompt_id, tax_idx, round(sum(weight * s), 9) AS score FROM w JOIN cn USING (term) "
+             "WHERE prompt_id NOT IN (SELECT prompt_id FROM hits) GROUP BY ALL"))}
+SELECT prompt_id, tax_idx, round(score, 6) AS score FROM sims
+QUALIFY row_number() OVER (PARTITION BY prompt_id ORDER BY score DESC, tax_idx) = 1"""
+
+# --- curation -------------------------------------------------------------------
+
+CURATION = (
+    "labels_in",
+    f"""
+SELECT CAST(doc_id AS INTEGER) AS tax_idx, CAST(doc_id % 8 AS INTEGER) AS category_id,
+       {arr(fx.CURATION_CATEGORIES)}[doc_id % 8 + 1] AS category_name,
+       {arr(fx.CURATION_NAMES)}[doc_id % {len(fx.CURATION_NAMES)} + 1]
+         || CASE WHEN doc_id % 3 = 0 THEN '' ELSE ' ' || source END AS subcategory_name,
+       CASE WHEN doc_id % 5 <> 0 THEN
+         array_to_string(list_sort(list_distinct(regexp_extract_all(text, '[A-Za-z]{{3,}}'))), ' ') END AS keywords
+FROM documents""",
+)
+KW = "coalesce(keywords, '')"
+NAME = "subcategory_name"
+
+
+def titled(text: str) -> str:
+    return (
+        "array_to_string(list_transform("
+        + found(text, r"\pL+|[^\pL]+")
+        + ", lambda p: upper(p[1]) || lower(p[2:])), '')"
+    )
+
+
+def in_order(words: str) -> str:
+    """Ordered distinct: positions of first occurrence."""
+    return f"list_filter({words}, lambda x, i: list_position({words}, x) = i)"
+
+
+def cases(rows, default: str) -> str:
+    return "CASE " + " ".join(f"WHEN {c} THEN {v}" for c, v in rows) + f" ELSE {default} END"
+
+
+def any_of(text: str, needles) -> str:
+    return "(" + " OR ".join(f"contains({text}, {lit(n)})" for n in needles) + ")"
+
+
+def all_of(text: str, needles) -> str:
+    return "(" + " AND ".join(f"contains({text}, {lit(n)})" for n in needles) + ")"
+
+
+def suffix(text: str, rules, default: str) -> str:
+    return cases([(any_of(f"lower({text})", words.split(", ")), lit(s)) for words, s in rules], lit(default))
+
+
+def mapped(table: dict[str, str], key: str, default: str) -> str:
+    return cases([(f"{key} = {lit(k)}", lit(v)) for k, v in table.items()], default)
+
+
+def curated(name: str, name_sql: str, keyword_sql: str, *ctes) -> None:
+    src = ctes[-1][0] if ctes else "labels_in"
+    ORACLE[name] = (
+        f"{with_(CURATION, *ctes)} SELECT tax_idx, {name_sql} AS subcategory_name, {keyword_sql} AS keywords FROM {src}"
+    )
+
+
+curated(
+    "patch_keywords",
+    NAME,
+    cases([(all_of(f"lower({NAME})", p), f"{KW} || {lit(' ' + w)}") for p, w in fv.PATCH_RULES], KW),
+)
+curated(
+    "rename_suffix",
+    f"CASE WHEN len({words_of(NAME)}) >= 5 THEN {NAME} ELSE {NAME} || ' ' || "
+    f"{suffix(NAME, fv.LONG_SUFFIX_RULES, fv.LONG_SUFFIX_DEFAULT)} END",
+    "keywords",
+)
+_SMART = (
+    "smart",
+    f"SELECT tax_idx, keywords, array_to_string(({in_order('ws')})[1:3], ' ') || ' ' || "
+    f"{suffix('t', fv.SHORT_SUFFIX_RULES, fv.SHORT_SUFFIX_DEFAULT)} AS subcategory_name FROM "
+    f"(SELECT *, string_split(t, ' ') AS ws FROM (SELECT *, {titled(f'replace({NAME}, {lit("_")}, {lit(" ")})')} AS t "
+    f"FROM labels_in))",
+)
+curated("smart_rename", NAME, "keywords", _SMART)
+curated("strip_suffix", f"trim({sub(NAME, ' (?:' + '|'.join(fv.SHORT_SUFFIXES) + ')$', '')})", "keywords", _SMART)
+_LETTERS = (
+    "letters",
+    "SELECT *, list_concat(" + ", ".join(
+        f"list_filter(string_split({sub(f'lower({c})', '[^a-z]', ' ')}, ' '), "
+        f"lambda w: w <> '' AND NOT list_contains({arr(fv.NAME_STOPWORDS)}, w))"
+        for c in ("category_name", NAME)
+    ) + ") AS ws FROM labels_in",
+)
+curated("rebuild_keywords", NAME, f"array_to_string({in_order('ws')}, ' ')", _LETTERS)
+
+
+def long_words(text: str) -> str:
+    return (
+        f"list_filter({words_of(sub(f'lower({text})', f'[^a-z{S}]', ''))}, lambda w: length(w) > 2 "
+        f"AND NOT list_contains({arr(fv.ENGLISH_STOPWORDS)}, w))"
+    )
+
+
+_FIXED = ("fixed", f"SELECT * REPLACE ({mapped(fv.NAME_FIXES, NAME, titled(NAME))} AS {NAME}) FROM labels_in")
+_REBUILT = (
+    "rebuilt",
+    f"SELECT *, list_concat(list_filter({words_of(f'lower({KW})')}, "
+    f"lambda w: NOT list_contains(parents, w)), own) AS ws FROM "
+    f"(SELECT *, {long_words('category_name')} AS parents, {long_words(NAME)} AS own FROM fixed)",
+)
+curated(
+    "rebuild_keywords_v2",
+    NAME,
+    f"array_to_string({in_order('ws')}, ' ') || "
+    + mapped({k: " " + v for k, v in fv.NAME_INJECTIONS.items()}, NAME, "''"),
+    _FIXED,
+    _REBUILT,
+)
+_INJECTED = (
+    "injected",
+    f"SELECT *, {words_of(KW + ' || ' + chr(39) + ' ' + chr(39) + ' || extra')} AS ws FROM "
+    f"(SELECT *, {mapped(fv.TECH_INJECTIONS, NAME, 'NULL')} AS extra FROM labels_in)",
+)
+curated(
+    "inject_keywords",
+    NAME,
+    f"CASE WHEN extra IS NULL THEN {KW} ELSE array_to_string({in_order('ws')}, ' ') END",
+    _INJECTED,
+)
+_LOWERED = ("lowered", f"SELECT *, {words_of(f'lower({KW})')} AS ws FROM labels_in")
+curated("dedupe_keywords", NAME, f"array_to_string({in_order('ws')}, ' ')", _LOWERED)
+curated(
+    "display_name",
+    f"CASE WHEN tax_idx < 59 THEN array_to_string(({words_of(NAME)})[1:3], ' ') ELSE {NAME} END",
+    NAME,
+)
+ORACLE["rename_map"] = f"""{with_(CURATION)} SELECT tax_idx, {mapped(
+    fx.RENAMES, NAME, titled(sub(NAME, '(?i)[' + S + ']+(And|Or|For|To|Of|The|In|On)[' + S + ']*$', '')))}
+AS subcategory_name FROM labels_in"""
+ORACLE["taxonomy_desc"] = f"{with_(CURATION)} SELECT tax_idx, {normal(KW)} AS processed_desc FROM labels_in"
+ORACLE["cluster_name"] = f"""{with_(CURATION,
+    ("t", f"SELECT tax_idx, {token_list(NAME + ' || coalesce(' + chr(39) + ' ' + chr(39) + ' || keywords, ' + chr(39) * 2 + ')')} AS ws FROM labels_in"),
+    ("j", "SELECT *, array_to_string(ws, ' ') AS whole FROM t"))}
+SELECT tax_idx, 'Auto Cluster: ' || {titled("array_to_string(ws[1:3], ' ')")} || ' ' ||
+       {suffix('whole', fv.CLUSTER_SUFFIX_RULES, fv.SHORT_SUFFIX_DEFAULT)} AS name FROM j"""
+ORACLE["keyword_union"] = f"""{with_(CURATION)}
+SELECT tax_idx, array_to_string(list_sort(list_distinct(list_concat({words_of(KW)}, {words_of(f'lower({NAME})')}))), ' ')
+  AS keywords FROM labels_in"""
+ORACLE["enrich_by_category"] = f"""{with_(CURATION)}
+SELECT tax_idx, {normal(KW)} || CASE WHEN category_id < 6 THEN ' ' || lower(category_name) ELSE '' END
+  AS enriched_desc FROM labels_in"""
+
+
+def swapped_words(text: str) -> str:
+    words = {k: v for k, v in fx.TERM_DICTIONARY.items() if " " not in k}
+    table = "map([" + ", ".join(lit(k) for k in words) + "], [" + ", ".join(lit(v) for v in words.values()) + "])"
+    return (
+        f"array_to_string(list_transform({found(text, f'[{W}]+|[^{W}]+')}, "
+        f"lambda p: coalesce({table}[p], p)), '')"
+    )
+
+
+def swapped_phrases(text: str) -> str:
+    for phrase in sorted((p for p in fx.TERM_DICTIONARY if " " in p), key=lambda p: (-len(p), p)):
+        pattern = f"(^|[^{W}]){phrase}($|[^{W}])"
+        to = rf"\1{fx.TERM_DICTIONARY[phrase]}\2"
+        text = sub(sub(text, pattern, to), pattern, to)
+    return text
+
+
+ORACLE["translate_terms"] = f"""{with_(PROMPTS, ("p", f"SELECT prompt_id, {swapped_phrases(f'lower({T})')} AS t FROM prompts"))}
+SELECT prompt_id, {swapped_words('t')} AS translated FROM p"""
+ORACLE["taxonomy_health"] = f"""{with_(CURATION,
+    ("k", "SELECT * REPLACE (coalesce(keywords, 'the of') AS keywords) FROM labels_in"),
+    ("t", f"SELECT *, len(list_distinct({kept_tokens(normal('keywords'))})) AS n_terms, "
+          f"count(*) OVER (PARTITION BY {NAME}) AS same FROM k"))}
+SELECT category_id, count(*) AS n_labels, count(*) > 20 AS over_limit,
+       count(*) FILTER (same > 1) AS n_repeated_names, count(*) FILTER (n_terms = 0) AS n_without_terms,
+       count(*) FILTER (n_terms < 2) AS n_below_two_terms
+FROM t GROUP BY 1"""
+ORACLE["renumber"] = f"""{with_(CURATION)}
+SELECT tax_idx, tax_idx < 59 AS is_core, category_id,
+       CAST(row_number() OVER (ORDER BY tax_idx < 59 DESC, category_id, tax_idx) - 1 AS INTEGER) AS subcategory_id
+FROM labels_in"""
+
+MERGE = [
+    TAXONOMY,
+    ("m", "SELECT tax_idx, subcategory_name, keywords, 'Half ' || (tax_idx % 2) AS category_name, "
+          "tax_idx % 4 = 0 AS is_core FROM taxonomy"),
+    ("mc", counted("tax_idx", "keywords", "m", 1)),
+    ("mcc", "SELECT * FROM mc JOIN m USING (tax_idx)"),
+    (
+        "mw",
+        "SELECT tax_idx, category_name, term, w / sqrt(sum(w * w) OVER (PARTITION BY tax_idx)) AS weight FROM "
+        "(SELECT tax_idx, category_name, term, tf * (ln((1 + n) / (1 + count(*) OVER "
+        "(PARTITION BY category_name, term))) + 1) AS w FROM mcc JOIN "
+        "(SELECT category_name, count(*) AS n FROM m GROUP BY 1) USING (category_name))",
+    ),
+    (
+        "ms",
+        "SELECT x.category_name, x.tax_idx AS a, y.tax_idx AS b, sum(x.weight * y.weight) AS sim FROM mw x "
+        "JOIN mw y ON x.category_name = y.category_name AND x.term = y.term AND x.tax_idx < y.tax_idx GROUP BY ALL",
+    ),
+]
+ORACLE["taxonomy_self_similarity"] = f"""{with_(*MERGE)}
+SELECT category_name, a, b, round(sim, 6) AS sim FROM ms WHERE round(sim, 9) >= 0.05"""
+ORACLE["anchor_merge"] = f"""{with_(*MERGE,
+    ("both_ways", "SELECT a AS gone, b AS kept, sim FROM ms UNION ALL SELECT b, a, sim FROM ms"),
+    ("best", "SELECT gone, kept FROM both_ways WHERE gone IN (SELECT tax_idx FROM m WHERE NOT is_core) "
+             "AND kept IN (SELECT tax_idx FROM m WHERE is_core) AND round(sim, 9) > 0.08 "
+             "QUALIFY row_number() OVER (PARTITION BY gone ORDER BY round(sim, 9) DESC, kept) = 1"),
+    ("grown", "SELECT kept, array_to_string(list_sort(list_distinct(flatten(list(string_split(keywords, ' '))))), ' ') AS words "
+              "FROM (SELECT kept, keywords FROM best JOIN m ON gone = tax_idx UNION ALL "
+              "SELECT DISTINCT kept, keywords FROM best JOIN m ON kept = tax_idx) GROUP BY kept"))}
+SELECT tax_idx, subcategory_name, coalesce(words, keywords) AS keywords FROM m LEFT JOIN grown ON kept = tax_idx
+WHERE tax_idx NOT IN (SELECT gone FROM best)"""

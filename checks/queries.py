@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
 from topicloom.functions import fixed_values as fv, text as tx
-from topicloom.operators import gates, language, similarity as sim, terms
+from topicloom.operators import curation, gates, language, quality, report, similarity as sim, terms
 from topicloom.operators.similarity import LabelIndex
 from topicloom.plans import routing
+from topicloom.plans.routing import centroid_hits
+from topicloom.session import new_shared_path
+from topicloom.sources import files, sinks
 
 QUERIES = {}
 
@@ -18,8 +21,15 @@ def query(fn):
     return fn
 
 
+_INDEXES: dict[tuple[str, str], LabelIndex] = {}
+
+
 def _index(spark: SparkSession, sf: str) -> LabelIndex:
-    return LabelIndex(fx.taxonomy(spark, sf), fv.ENGLISH_STOPWORDS)
+    """One index per session and input folder, as a deployment fits it once per label table."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _INDEXES:
+        _INDEXES[key] = LabelIndex(fx.taxonomy(spark, sf), fv.ENGLISH_STOPWORDS)
+    return _INDEXES[key]
 
 
 def _prepared(spark: SparkSession, sf: str) -> DataFrame:
@@ -308,3 +318,265 @@ def taxonomy_mapping(spark, sf):
 @query
 def route_summary(spark, sf):
     return routing.route_summary(_routed(spark, sf))
+
+
+# --- reports and sinks --------------------------------------------------------
+
+
+@query
+def category_counts(spark, sf):
+    return report.category_counts(_routed(spark, sf))
+
+
+@query
+def category_totals(spark, sf):
+    return report.category_totals(_routed(spark, sf))
+
+
+@query
+def category_rollup(spark, sf):
+    return report.category_rollup(_routed(spark, sf))
+
+
+@query
+def daily_counts(spark, sf):
+    """The whole daily run: language, gate, routing, counts per day and label."""
+    english, _ = language.split_english(_routed_languages(spark, sf))
+    routed = routing.route(routing.prepare(english), _index(spark, sf))
+    return report.daily_counts(routed)
+
+
+@query
+def upsert_daily_counts(spark, sf):
+    """Counts of gated prompts replace those of all prompts where both have the pair."""
+    prompts = fx.prompts(spark, sf).withColumn("category_name", F.col("lang")).withColumn(
+        "subcategory_name", F.coalesce(gates.drop_reason(F.col("raw_text")), F.lit("kept"))
+    )
+    again = gates.garbage_gate(prompts).withColumn("raw_text", F.upper("raw_text"))
+    again = again.unionByName(again.withColumn("category_name", F.lit("all")))
+    return report.upsert(
+        report.daily_counts(prompts), report.daily_counts(again.unionByName(again))
+    )
+
+
+@query
+def scan_prompts(spark, sf):
+    lines = files.text_lines(fx.documents(spark, sf), "text", "doc_id", skip_header=False)
+    return lines.select("doc_id", "pos", "raw_text")
+
+
+@query
+def skip_header(spark, sf):
+    """Every third document gets a header line, some after a blank one."""
+    doc = F.col("doc_id")
+    header = F.when(doc % 3 == 0, "Prompt_text\n").when(doc % 3 == 1, " \nprompt text\n").otherwise("")
+    with_header = fx.documents(spark, sf).withColumn("text", F.concat(header, F.col("text")))
+    return files.text_lines(with_header, "text", "doc_id").select("doc_id", "pos", "raw_text")
+
+
+@query
+def csv_roundtrip(spark, sf):
+    """Written as CSV and read back: quotes, commas and empty-looking texts survive."""
+    quoted = F.concat(F.lit('say "'), F.col("raw_text"), F.lit('", then'))
+    rows = fx.prompts(spark, sf).select("prompt_id", quoted.alias("raw_text"))
+    path = new_shared_path(spark, "csv")
+    sinks.write_csv(rows, path)
+    return files.read_csv(spark, path, rows.schema)
+
+
+@query
+def date_from_filename(spark, sf):
+    day = F.date_add(F.lit(fx.FIRST_DAY).cast("date"), (F.col("doc_id") % 7).cast("int"))
+    name = F.concat(F.lit("cleaned_prompts_"), day.cast("string"), F.lit(".txt"))
+    return fx.documents(spark, sf).select("doc_id", files.file_date(name).alias("date"))
+
+
+# --- quality ------------------------------------------------------------------
+
+
+def _hits(spark, sf):
+    return quality.mapped_only(_routed(spark, sf))
+
+
+@query
+def stratified_sample(spark, sf):
+    sample = quality.stratified_sample(_hits(spark, sf))
+    return sample.select("prompt_id", "subcategory_name", "truncated_prompt")
+
+
+@query
+def golden_set(spark, sf):
+    return quality.golden_set(_routed(spark, sf), cap=150)
+
+
+@query
+def math_sample(spark, sf):
+    return quality.uniform_sample(_prepared(spark, sf), 1000).select("prompt_id", "truncated_prompt")
+
+
+def _graded(spark, sf):
+    """Prompts and labels with the words the grading rules look for."""
+    row = F.col("prompt_id")
+    extra = F.get(
+        F.array(*[F.lit(" " + a) for a, _, _ in fv.GRADE_RULES], F.lit("")), (row % 8).cast("int")
+    )
+    label = F.get(F.array(F.lit("Error Codes"), F.lit("Risk"), F.lit("Amex API")), (row % 3).cast("int"))
+    return fx.prompts(spark, sf).select(
+        "prompt_id",
+        F.concat(F.col("raw_text"), extra).alias("prompt"),
+        label.alias("subcategory_name"),
+    )
+
+
+@query
+def auto_grade(spark, sf):
+    grade = quality.auto_grade(F.col("prompt"), F.col("subcategory_name"))
+    return _graded(spark, sf).select("prompt_id", grade.alias("grade"))
+
+
+@query
+def golden_accuracy(spark, sf):
+    grade = quality.auto_grade(F.col("prompt"), F.col("subcategory_name"))
+    reviewed = F.when(F.col("prompt_id") % 5 != 0, grade)
+    return quality.golden_accuracy(_graded(spark, sf).withColumn(fv.GRADE_COLUMN, reviewed))
+
+
+def _purity_parts(spark, sf):
+    rows = _hits(spark, sf).select("prompt_id", "subcategory_name", "truncated_prompt")
+    return quality.purity_weights(rows), rows
+
+
+@query
+def class_centroids(spark, sf):
+    found = quality.centroids(*_purity_parts(spark, sf))
+    return found.select("subcategory_name", "term", F.round("weight", 6).alias("weight"), "n")
+
+
+@query
+def class_purity(spark, sf):
+    found = quality.purity(*_purity_parts(spark, sf))
+    return found.select("subcategory_name", F.round("distance", 6).alias("distance"), "n")
+
+
+@query
+def purity_top5(spark, sf):
+    return quality.most_diluted(quality.purity(*_purity_parts(spark, sf)))
+
+
+@query
+def top_terms_per_class(spark, sf):
+    return quality.top_terms(*_purity_parts(spark, sf))
+
+
+@query
+def centroid_route(spark, sf):
+    """Prompts without a hit go to the closest label centroid of confident hits."""
+    index = _index(spark, sf)
+    found = centroid_hits(_prepared(spark, sf), index)
+    return found.select("prompt_id", "tax_idx", F.round("score", 6).alias("score"))
+
+
+# --- curation -------------------------------------------------------------------
+
+
+def _curation_query(name, job):
+    def run(spark, sf):
+        done = job(fx.curation_labels(spark, sf))
+        return done.select("tax_idx", "subcategory_name", "keywords")
+
+    run.__name__ = name
+    query(run)
+
+
+_curation_query("patch_keywords", curation.patch_keywords)
+_curation_query("rename_suffix", curation.rename_with_suffix)
+_curation_query("smart_rename", curation.smart_rename)
+_curation_query("strip_suffix", lambda df: curation.strip_suffix(curation.smart_rename(df)))
+_curation_query("rebuild_keywords", curation.rebuild_keywords)
+_curation_query("rebuild_keywords_v2", curation.rebuild_keywords_from_names)
+_curation_query("inject_keywords", curation.inject_keywords)
+_curation_query("dedupe_keywords", curation.dedupe_keywords)
+_curation_query("display_name", lambda df: curation.display_names(df, F.col("tax_idx") < 59))
+
+
+@query
+def rename_map(spark, sf):
+    renames = spark.createDataFrame(list(fx.RENAMES.items()), "name string, new_name string")
+    done = curation.rename_by_map(fx.curation_labels(spark, sf), renames)
+    return done.select("tax_idx", "subcategory_name")
+
+
+@query
+def taxonomy_desc(spark, sf):
+    return sim.describe_labels(fx.curation_labels(spark, sf)).select("tax_idx", "processed_desc")
+
+
+@query
+def cluster_name(spark, sf):
+    words = tx.tokens(F.concat_ws(" ", "subcategory_name", "keywords"))
+    return fx.curation_labels(spark, sf).select("tax_idx", curation.cluster_name(words).alias("name"))
+
+
+@query
+def keyword_union(spark, sf):
+    merged = curation.merge_keywords(F.coalesce("keywords", F.lit("")), F.lower("subcategory_name"))
+    return fx.curation_labels(spark, sf).select("tax_idx", merged.alias("keywords"))
+
+
+@query
+def enrich_by_category(spark, sf):
+    """The words of a category's own label names enrich its labels; two categories have none."""
+    labels = sim.describe_labels(fx.curation_labels(spark, sf))
+    enrichment = (
+        labels.filter("category_id < 6")
+        .groupBy("category_id")
+        .agg(F.array_join(F.sort_array(F.collect_set(F.lower("category_name"))), " ").alias("words"))
+    )
+    return curation.enrich_by_category(labels, enrichment).select("tax_idx", "enriched_desc")
+
+
+@query
+def translate_terms(spark, sf):
+    done = curation.translate_terms(fx.prompts(spark, sf), fx.TERM_DICTIONARY, "raw_text")
+    return done.select("prompt_id", "translated")
+
+
+@query
+def taxonomy_health(spark, sf):
+    labels = fx.curation_labels(spark, sf).withColumn("keywords", F.coalesce("keywords", F.lit("the of")))
+    return curation.health(labels)
+
+
+@query
+def renumber(spark, sf):
+    labels = fx.curation_labels(spark, sf).withColumn("is_core", F.col("tax_idx") < 59)
+    done = curation.renumber(labels, F.desc("is_core"), "category_id", "tax_idx")
+    return done.select("tax_idx", "is_core", "category_id", "subcategory_id")
+
+
+def _merge_labels(spark, sf):
+    """Two categories of benchmark passages; every fourth row is core."""
+    labels = fx.taxonomy(spark, sf)
+    return labels.withColumn(
+        "category_name", F.concat(F.lit("Half "), F.col("tax_idx") % 2)
+    ).withColumn("is_core", F.col("tax_idx") % 4 == 0)
+
+
+@query
+def taxonomy_self_similarity(spark, sf):
+    pairs = curation.similar_labels(curation.label_weights(_merge_labels(spark, sf)), 0.05)
+    return pairs.select("category_name", "a", "b", F.round("sim", 6).alias("sim"))
+
+
+@query
+def anchor_merge(spark, sf):
+    return curation.anchor_merge(_merge_labels(spark, sf), 0.08).select(
+        "tax_idx", "subcategory_name", "keywords"
+    )
+
+
+@query
+def compress_to_n(spark, sf):
+    return curation.consolidate(_merge_labels(spark, sf), limit=12).select(
+        "tax_idx", "category_name", "subcategory_name", "keywords"
+    )

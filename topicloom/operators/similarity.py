@@ -37,7 +37,8 @@ def describe_labels(labels: DataFrame) -> DataFrame:
 
 def fit_space(counts: DataFrame, n_labels: Column, max_terms: int) -> DataFrame:
     """``(term, tax_idx, idf, weight)`` of one vector space, with its ``NORM`` rows."""
-    vocab = terms.vocabulary(counts, n_labels, max_terms)
+    counts = counts.persist()
+    vocab = terms.vocabulary(counts, n_labels, max_terms).persist()
     weighed = terms.weights(counts, vocab, "tax_idx", True, max_terms)
     return (
         weighed.join(vocab.select("term", "idf"), "term")
@@ -47,6 +48,7 @@ def fit_space(counts: DataFrame, n_labels: Column, max_terms: int) -> DataFrame:
                 "term", F.lit(NORM).alias("tax_idx"), "idf", F.lit(0.0).alias("weight")
             )
         )
+        .persist()
     )
 
 
@@ -54,7 +56,8 @@ def fit_space(counts: DataFrame, n_labels: Column, max_terms: int) -> DataFrame:
 class LabelIndex:
     """Everything the router needs to know about a label table.
 
-    Fitted on the labels only, so prompts are never scanned for it.
+    Fitted on the labels only, so prompts are never scanned for it.  Its frames have
+    label-table size and stay cached, as each is used by several others.
     """
 
     labels: DataFrame
@@ -64,7 +67,7 @@ class LabelIndex:
 
     @cached_property
     def described(self) -> DataFrame:
-        return describe_labels(self.labels)
+        return describe_labels(self.labels).persist()
 
     def _counts(self, found: Column) -> DataFrame:
         return terms.term_freq(self.described, "tax_idx", found)
@@ -88,6 +91,7 @@ class LabelIndex:
             self._counts(tx.tokens(F.col("processed_desc")))
             .withColumnRenamed("tf", "label_tf")
             .join(vocab, "term", "left_semi")
+            .persist()
         )
 
     @cached_property
@@ -265,7 +269,7 @@ def masked_similarity(
     )
     norm_row = F.array(F.struct(F.lit(NORM).alias("tax_idx"), F.lit(0.0).alias("word_sim")))
     windows = (
-        texts.join(survivors, id_col)
+        texts.join(survivors.hint("merge"), id_col)
         .select(
             id_col,
             F.concat("_labels", norm_row).alias("_labels"),

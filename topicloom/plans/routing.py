@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from topicloom.functions import fixed_values as fv, text as tx
-from topicloom.operators import gates, similarity as sim
+from topicloom.operators import gates, quality, similarity as sim, terms
 from topicloom.operators.similarity import LabelIndex
-from topicloom.plans.bounds import broadcast_if_small
+from topicloom.plans.bounds import broadcast_if_small, materialize
 
 LABEL_COLUMNS = ["category_id", "category_name", "subcategory_id", "subcategory_name"]
 
@@ -97,3 +97,33 @@ def route_summary(routed: DataFrame) -> DataFrame:
         F.round(F.avg(hit.cast("double")) * 100, 6).alias("pct_routed"),
         F.round(F.avg((~hit).cast("double")) * 100, 6).alias("pct_other"),
     )
+
+
+def centroid_hits(
+    prepared: DataFrame,
+    index: LabelIndex,
+    id_col: str = "prompt_id",
+    confident: float = 0.15,
+    max_terms: int = fv.RESCUE_FEATURES,
+) -> DataFrame:
+    """``(id, tax_idx, score)`` for texts without a hit, against the centroids of confident hits.
+
+    A label's centroid is the mean of the word vectors of the texts that reached
+    ``confident``.  Centroids have at most ``max_terms`` rows per label.
+    """
+    prepared = prepared.select(id_col, "processed_text")
+    hits = materialize(official_hits(prepared, index, id_col), "hits")
+    weights = terms.tfidf(
+        prepared, id_col, terms.word_terms(F.col("processed_text"), 2, index.stopwords), True, max_terms
+    )
+    sure = hits.filter(F.col("score") >= confident).select(id_col, "tax_idx")
+    centroids = quality.centroids(weights, sure, "tax_idx", id_col)
+    length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy("tax_idx")))
+    side = broadcast_if_small(centroids.select("tax_idx", "term", (F.col("weight") / length).alias("_c")))
+    pairs = (
+        weights.join(hits, id_col, "left_anti")
+        .join(side, "term")
+        .groupBy(id_col, "tax_idx")
+        .agg(F.sum(F.col("weight") * F.col("_c")).alias("sim"))
+    )
+    return sim.best_label(pairs, id_col)
