@@ -74,7 +74,6 @@ def main(argv: list[str]) -> int:
             ok, detail = False, f"{type(error).__name__}: {str(error)[:600]}"
         failures += not ok
         print("ok  " if ok else "FAIL", name, detail, flush=True)
-        spark.catalog.clearCache()
     print(f"{len(names) - failures} of {len(names)} agree")
     return failures
 

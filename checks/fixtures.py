@@ -106,3 +106,13 @@ def curation_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("subcategory_name"),
         F.when(doc % 5 != 0, F.array_join(words, " ")).alias("keywords"),
     )
+
+
+def dated_inbox(rows: DataFrame, path: str) -> None:
+    """One text file per day, with the date in its name as the collector writes it."""
+    (
+        rows.select(F.col("date").cast("string").alias("day"), "raw_text")
+        .repartition("day")
+        .write.partitionBy("day")
+        .text(path)
+    )

@@ -778,3 +778,20 @@ ORACLE["anchor_merge"] = f"""{with_(*MERGE,
               "SELECT DISTINCT kept, keywords FROM best JOIN m ON kept = tax_idx) GROUP BY kept"))}
 SELECT tax_idx, subcategory_name, coalesce(words, keywords) AS keywords FROM m LEFT JOIN grown ON kept = tax_idx
 WHERE tax_idx NOT IN (SELECT gone FROM best)"""
+
+# --- models -----------------------------------------------------------------------
+
+ORACLE["class_weights"] = """
+SELECT quality, count(*) AS n,
+       round((SELECT count(*) FROM documents JOIN labels USING (doc_id))
+             / ((SELECT count(DISTINCT quality) FROM documents JOIN labels USING (doc_id)) * count(*)), 6) AS weight
+FROM documents JOIN labels USING (doc_id) GROUP BY quality"""
+ORACLE["keyword_rank"] = f"""{with_(*PURITY,
+    ("r", "SELECT *, row_number() OVER (PARTITION BY subcategory_name ORDER BY round(weight, 9) DESC, term) AS place "
+          "FROM q_centroids"),
+    ("good", "SELECT subcategory_name, term, row_number() OVER (PARTITION BY subcategory_name ORDER BY place) AS p "
+             "FROM r WHERE place <= 20 AND length(term) > 3 AND regexp_full_match(term, '[a-z ]+')"),
+    ("mined", "SELECT subcategory_name, list(term) AS terms FROM good WHERE p <= 15 GROUP BY 1"))}
+SELECT tax_idx, array_to_string(list_sort(list_distinct(list_concat(
+         string_split(keywords, ' '), coalesce(terms, string_split(keywords, ' '))))), ' ') AS keywords
+FROM taxonomy LEFT JOIN mined USING (subcategory_name)"""

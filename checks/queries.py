@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from checks import fixtures as fx
 from topicloom.functions import fixed_values as fv, text as tx
-from topicloom.operators import curation, gates, language, quality, report, similarity as sim, terms
+from topicloom.operators import (
+    curation, gates, language, learning, quality, report, similarity as sim, terms,
+)
 from topicloom.operators.similarity import LabelIndex
 from topicloom.plans import routing
+from topicloom.plans.bounds import materialize
 from topicloom.plans.routing import centroid_hits
 from topicloom.session import new_shared_path
 from topicloom.sources import files, sinks
+from topicloom.streaming import daily_stream
 
 QUERIES = {}
 
@@ -394,8 +398,20 @@ def date_from_filename(spark, sf):
 # --- quality ------------------------------------------------------------------
 
 
+_CATEGORISED: dict[tuple[str, str], DataFrame] = {}
+
+
+def _categorised(spark, sf):
+    """The written, categorised dataset that review jobs read, one per session and input folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CATEGORISED:
+        columns = ["prompt_id", "raw_text", "truncated_prompt", *routing.LABEL_COLUMNS, "route"]
+        _CATEGORISED[key] = materialize(_routed(spark, sf).select(*columns), "categorised")
+    return _CATEGORISED[key]
+
+
 def _hits(spark, sf):
-    return quality.mapped_only(_routed(spark, sf))
+    return quality.mapped_only(_categorised(spark, sf))
 
 
 @query
@@ -406,7 +422,7 @@ def stratified_sample(spark, sf):
 
 @query
 def golden_set(spark, sf):
-    return quality.golden_set(_routed(spark, sf), cap=150)
+    return quality.golden_set(_categorised(spark, sf), cap=150)
 
 
 @query
@@ -580,3 +596,100 @@ def compress_to_n(spark, sf):
     return curation.consolidate(_merge_labels(spark, sf), limit=12).select(
         "tax_idx", "category_name", "subcategory_name", "keywords"
     )
+
+
+# --- models -----------------------------------------------------------------------
+
+
+def _rescued(spark, sf):
+    """Hits, and what the model makes of the rest."""
+    index = _index(spark, sf)
+    prepared = materialize(
+        _prepared(spark, sf).select("prompt_id", "raw_text", "truncated_prompt", "processed_text"), "prepared"
+    )
+    hits = materialize(routing.official_hits(prepared, index), "hits")
+    model = learning.fit_rescue(prepared, hits, index.stopwords)
+    rescued = learning.rescue(prepared.join(hits, "prompt_id", "left_anti"), model)
+    return prepared, hits, model, rescued
+
+
+@query
+def rescue_model(spark, sf):
+    """The strongest terms of every label the rescue model learned."""
+    _, hits, model, _ = _rescued(spark, sf)
+    classes = hits.select(F.col("tax_idx").alias("subcategory_id"), F.col("tax_idx").alias("label")).distinct()
+    return learning.class_weights_of_model(model.classifier, model.features, classes)
+
+
+@query
+def rescue_sweep(spark, sf):
+    _, _, _, rescued = _rescued(spark, sf)
+    return rescued
+
+
+@query
+def keyword_mining(spark, sf):
+    return learning.mine_keywords(_categorised(spark, sf), fx.taxonomy(spark, sf))
+
+
+@query
+def keyword_rank(spark, sf):
+    """Mean TF-IDF weights per label stand in for model coefficients."""
+    rows = _hits(spark, sf).select("prompt_id", "subcategory_id", "truncated_prompt")
+    means = quality.centroids(quality.purity_weights(rows), rows, "subcategory_id")
+    weights = means.select("subcategory_id", "term", F.round("weight", 9).alias("coef"))
+    done = learning.rank_keywords(weights, fx.taxonomy(spark, sf))
+    return done.select("tax_idx", "keywords")
+
+
+def _labelled_documents(spark, sf):
+    (labels,) = fx.tables(spark, sf, "labels")
+    return fx.documents(spark, sf).join(labels, "doc_id")
+
+
+@query
+def class_weights(spark, sf):
+    found = learning.balanced_weights(_labelled_documents(spark, sf), "quality")
+    return found.withColumn("weight", F.round("weight", 6))
+
+
+def _intent(spark, sf):
+    return learning.fit_intent(_labelled_documents(spark, sf), "doc_id", "text", "quality")
+
+
+@query
+def intent_train(spark, sf):
+    """The fitted sigmoid of every fold and class."""
+    rows = [
+        (i, c, float(a), float(b))
+        for i, (_, sigmoids) in enumerate(_intent(spark, sf).folds)
+        for c, (a, b) in enumerate(sigmoids)
+    ]
+    return spark.createDataFrame(rows, "fold int, label int, slope double, offset double")
+
+
+@query
+def intent_score(spark, sf):
+    """A saved and reloaded model on every document."""
+    path = new_shared_path(spark, "intent")
+    _intent(spark, sf).save(path)
+    model = learning.IntentModel.load(spark, path)
+    return model.score(fx.documents(spark, sf), "doc_id", "text")
+
+
+@query
+def discover_topics(spark, sf):
+    leftovers = _categorised(spark, sf).filter("route = 'other'")
+    prepared = leftovers.withColumn("processed_text", tx.normalize(F.col("truncated_prompt")))
+    _, named = learning.discover_topics(prepared)
+    return named
+
+
+@query
+def daily_ingest(spark, sf):
+    """Dated prompt files through the file stream into the count store."""
+    inbox, store = new_shared_path(spark, "inbox"), new_shared_path(spark, "store")
+    fx.dated_inbox(fx.prompts(spark, sf), inbox)
+    profiles, index = _profiles(spark, sf), _index(spark, sf)
+    daily_stream.run(spark, inbox, store, index, profiles=profiles)
+    return sinks.read_counts(spark, store).select("date", "category", "sub_category", "count")
