@@ -350,6 +350,12 @@ def daily_counts(spark, sf):
     return report.daily_counts(routed)
 
 
+def flagship(spark, sf):
+    """Language, gate and label routing of every prompt, counted per label."""
+    english, _ = language.split_english(_routed_languages(spark, sf))
+    return report.category_counts(routing.route(routing.prepare(english), _index(spark, sf)))
+
+
 @query
 def upsert_daily_counts(spark, sf):
     """Counts of gated prompts replace those of all prompts where both have the pair."""
@@ -601,6 +607,17 @@ def compress_to_n(spark, sf):
 # --- models -----------------------------------------------------------------------
 
 
+_MODELS: dict[tuple[str, str, str], object] = {}
+
+
+def _once(kind, spark, sf, make):
+    """Fitted models are shared by the queries of a session, as a deployment shares them."""
+    key = (kind, spark.sparkContext.applicationId, sf)
+    if key not in _MODELS:
+        _MODELS[key] = make(spark, sf)
+    return _MODELS[key]
+
+
 def _rescued(spark, sf):
     """Hits, and what the model makes of the rest."""
     index = _index(spark, sf)
@@ -608,7 +625,7 @@ def _rescued(spark, sf):
         _prepared(spark, sf).select("prompt_id", "raw_text", "truncated_prompt", "processed_text"), "prepared"
     )
     hits = materialize(routing.official_hits(prepared, index), "hits")
-    model = learning.fit_rescue(prepared, hits, index.stopwords)
+    model = learning.fit_rescue(prepared, hits, index.stopwords, max_iter=10)
     rescued = learning.rescue(prepared.join(hits, "prompt_id", "left_anti"), model)
     return prepared, hits, model, rescued
 
@@ -616,20 +633,20 @@ def _rescued(spark, sf):
 @query
 def rescue_model(spark, sf):
     """The strongest terms of every label the rescue model learned."""
-    _, hits, model, _ = _rescued(spark, sf)
+    _, hits, model, _ = _once("rescue", spark, sf, _rescued)
     classes = hits.select(F.col("tax_idx").alias("subcategory_id"), F.col("tax_idx").alias("label")).distinct()
     return learning.class_weights_of_model(model.classifier, model.features, classes)
 
 
 @query
 def rescue_sweep(spark, sf):
-    _, _, _, rescued = _rescued(spark, sf)
+    _, _, _, rescued = _once("rescue", spark, sf, _rescued)
     return rescued
 
 
 @query
 def keyword_mining(spark, sf):
-    return learning.mine_keywords(_categorised(spark, sf), fx.taxonomy(spark, sf))
+    return learning.mine_keywords(_categorised(spark, sf), fx.taxonomy(spark, sf), max_iter=10)
 
 
 @query
@@ -654,7 +671,9 @@ def class_weights(spark, sf):
 
 
 def _intent(spark, sf):
-    return learning.fit_intent(_labelled_documents(spark, sf), "doc_id", "text", "quality")
+    return learning.fit_intent(
+        _labelled_documents(spark, sf), "doc_id", "text", "quality", max_iter=10
+    )
 
 
 @query
@@ -662,7 +681,7 @@ def intent_train(spark, sf):
     """The fitted sigmoid of every fold and class."""
     rows = [
         (i, c, float(a), float(b))
-        for i, (_, sigmoids) in enumerate(_intent(spark, sf).folds)
+        for i, (_, sigmoids) in enumerate(_once("intent", spark, sf, _intent).folds)
         for c, (a, b) in enumerate(sigmoids)
     ]
     return spark.createDataFrame(rows, "fold int, label int, slope double, offset double")
@@ -672,7 +691,7 @@ def intent_train(spark, sf):
 def intent_score(spark, sf):
     """A saved and reloaded model on every document."""
     path = new_shared_path(spark, "intent")
-    _intent(spark, sf).save(path)
+    _once("intent", spark, sf, _intent).save(path)
     model = learning.IntentModel.load(spark, path)
     return model.score(fx.documents(spark, sf), "doc_id", "text")
 
