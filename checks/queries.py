@@ -345,15 +345,14 @@ def category_rollup(spark, sf):
 @query
 def daily_counts(spark, sf):
     """The whole daily run: language, gate, routing, counts per day and label."""
-    english, _ = language.split_english(_routed_languages(spark, sf))
-    routed = routing.route(routing.prepare(english), _index(spark, sf))
+    routed = routing.route_english(fx.prompts(spark, sf), _profiles(spark, sf), _index(spark, sf))
     return report.daily_counts(routed)
 
 
 def flagship(spark, sf):
     """Language, gate and label routing of every prompt, counted per label."""
-    english, _ = language.split_english(_routed_languages(spark, sf))
-    return report.category_counts(routing.route(routing.prepare(english), _index(spark, sf)))
+    routed = routing.route_english(fx.prompts(spark, sf), _profiles(spark, sf), _index(spark, sf))
+    return report.category_counts(routed)
 
 
 @query
@@ -710,5 +709,5 @@ def daily_ingest(spark, sf):
     inbox, store = new_shared_path(spark, "inbox"), new_shared_path(spark, "store")
     fx.dated_inbox(fx.prompts(spark, sf), inbox)
     profiles, index = _profiles(spark, sf), _index(spark, sf)
-    daily_stream.run(spark, inbox, store, index, profiles=profiles)
+    daily_stream.run(spark, inbox, store, index, profiles)
     return sinks.read_counts(spark, store).select("date", "category", "sub_category", "count")

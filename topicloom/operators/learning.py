@@ -108,6 +108,17 @@ def rescue(
     )
 
 
+def rescuer(stopwords: list[str], id_col: str = "prompt_id", **options):
+    """The rescue step for ``plans.routing.route_english``: learn from the hits, label the rest."""
+
+    def rescue_rows(prepared: DataFrame, hits: DataFrame) -> DataFrame | None:
+        leftovers = prepared.join(hits.select(id_col), id_col, "left_anti")
+        model = fit_rescue(prepared, hits, stopwords, id_col, **options)
+        return None if model is None else rescue(leftovers, model, id_col).select(id_col, "tax_idx")
+
+    return rescue_rows
+
+
 # --- keyword mining -------------------------------------------------------------
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from topicloom.functions import fixed_values as fv, text as tx
-from topicloom.operators import gates, quality, similarity as sim, terms
+from topicloom.operators import gates, language, quality, similarity as sim, terms
 from topicloom.operators.similarity import LabelIndex
 from topicloom.plans.bounds import broadcast_if_small, materialize
 
@@ -76,6 +78,29 @@ def route(
     )
 
 
+def route_english(
+    prompts: DataFrame,
+    profiles: DataFrame,
+    index: LabelIndex,
+    id_col: str = "prompt_id",
+    rescue_rows: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+    **options,
+) -> DataFrame:
+    """The whole run: language, gate, routing and, on request, rescue.
+
+    The prepared English prompts are written once between language and label
+    routing, as several later steps read them.  ``rescue_rows`` takes the prepared
+    prompts and the hits and returns ``(id, tax_idx)`` for texts without a hit.
+    """
+    english, _ = language.split_english(language.route_languages(prompts, profiles, id_col))
+    prepared = materialize(prepare(english), "prepared")
+    rescued = None
+    if rescue_rows is not None:
+        hits = materialize(official_hits(prepared, index, id_col, **options), "hits")
+        rescued = rescue_rows(prepared, hits)
+    return route(prepared, index, rescued, id_col, **options)
+
+
 def label_mapping(routed: DataFrame, labels: DataFrame) -> DataFrame:
     """The label table, plus the Other row when any prompt ended there."""
     other = (
