@@ -279,10 +279,12 @@ def _apply_merges(labels: DataFrame, merges: DataFrame) -> DataFrame:
     )
 
 
-def anchor_merges(labels: DataFrame, threshold: float = fv.ANCHOR_SIMILARITY) -> DataFrame:
+def anchor_merges(
+    labels: DataFrame, weights: DataFrame, threshold: float = fv.ANCHOR_SIMILARITY
+) -> DataFrame:
     """``(gone, kept)``: every non-core row strictly above the threshold to its closest core row."""
     core = labels.select("tax_idx", "is_core")
-    pairs = similar_labels(label_weights(labels), threshold).filter(F.round("sim", 9) > threshold)
+    pairs = similar_labels(weights, threshold).filter(F.round("sim", 9) > threshold)
     both = pairs.select(F.col("a").alias("gone"), F.col("b").alias("kept"), "sim").unionByName(
         pairs.select(F.col("b").alias("gone"), F.col("a").alias("kept"), "sim")
     )
@@ -297,10 +299,12 @@ def anchor_merges(labels: DataFrame, threshold: float = fv.ANCHOR_SIMILARITY) ->
 
 def anchor_merge(labels: DataFrame, threshold: float = fv.ANCHOR_SIMILARITY) -> DataFrame:
     """One round of merging into core rows; ``labels`` carries ``is_core``."""
-    return _apply_merges(labels, anchor_merges(labels, threshold))
+    return _apply_merges(labels, anchor_merges(labels, label_weights(labels), threshold))
 
 
-def compress_merges(labels: DataFrame, limit: int, threshold: float) -> DataFrame:
+def compress_merges(
+    labels: DataFrame, weights: DataFrame, limit: int, threshold: float
+) -> DataFrame:
     """``(gone, kept, name)``: pairs that are each other's closest, in categories above the limit.
 
     Core rows never merge with each other.  A category gives up no more rows than
@@ -318,7 +322,7 @@ def compress_merges(labels: DataFrame, limit: int, threshold: float) -> DataFram
     a = info.select(*[F.col(c).alias(f"a_{c}") for c in info.columns])
     b = info.select(*[F.col(c).alias(f"b_{c}") for c in info.columns])
     pairs = (
-        similar_labels(label_weights(crowded), threshold)
+        similar_labels(weights.join(excess, "category_name", "left_semi"), threshold)
         .join(a, F.col("a") == F.col("a_tax_idx"))
         .join(b, F.col("b") == F.col("b_tax_idx"))
         .filter("NOT (a_is_core AND b_is_core)")
@@ -395,9 +399,10 @@ def consolidate(
     each other, so a category keeps all of them even above the limit.
     """
     while True:
-        merges = materialize(anchor_merges(labels, anchor), "merges")
+        weights = materialize(label_weights(labels), "label-weights")
+        merges = materialize(anchor_merges(labels, weights, anchor), "merges")
         if merges.isEmpty():
-            merges = materialize(compress_merges(labels, limit, min_similarity), "merges")
+            merges = materialize(compress_merges(labels, weights, limit, min_similarity), "merges")
             if merges.isEmpty():
                 merges = materialize(leftover_merges(labels, limit), "merges")
             if merges.isEmpty():

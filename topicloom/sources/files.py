@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from topicloom.functions import text as tx
 
@@ -137,22 +137,17 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """A label table with its row index ``tax_idx``, in file order."""
-    labels = require_columns(
-        read_csv(spark, path, LABEL_SCHEMA), "category_id", "category_name", "subcategory_name"
-    )
-    order = F.row_number().over(_whole_table_order())
+    labels = read_csv(spark, path, LABEL_SCHEMA)
+    order = F.row_number().over(W.orderBy("_pos"))
     return labels.withColumn("_pos", F.monotonically_increasing_id()).select(
         (order - 1).alias("tax_idx"), *labels.columns
     )
 
 
-def _whole_table_order():
-    from pyspark.sql import Window
-
-    return Window.orderBy("_pos")
-
-
 def read_categorised(spark: SparkSession, path: str) -> DataFrame:
+    """The categorised dataset; a column the file lacks is an error and not a null column."""
+    header = spark.read.option("header", True).csv(path)
+    require_columns(header, "truncated_prompt", "subcategory_id")
     return read_csv(spark, path, CATEGORISED_SCHEMA)
 
 
@@ -163,7 +158,17 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.explode(entries).alias("term", "english"))
 
 
-def read_word_list(spark: SparkSession, path: str) -> list[str]:
-    """A word list for ``without_words``, one word per line: noise words, extra stopwords."""
-    words = spark.read.text(path).select(tx.strip(F.col("value")).alias("w")).filter("w <> ''")
-    return sorted({row.w for row in words.distinct().limit(100_000).toLocalIterator()})
+def read_word_list(spark: SparkSession, path: str, max_words: int = 100_000) -> list[str]:
+    """A word list for ``without_words``, one word per line: noise words, extra stopwords.
+
+    It becomes part of the plan, so a file beyond ``max_words`` is refused.
+    """
+    words = (
+        spark.read.text(path)
+        .select(tx.strip(F.col("value")).alias("w"))
+        .filter("w <> ''")
+        .distinct()
+    )
+    if words.limit(max_words + 1).count() > max_words:
+        raise ValueError(f"{path} has more than {max_words} words")
+    return sorted(row.w for row in words.toLocalIterator())
