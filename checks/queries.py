@@ -709,5 +709,6 @@ def daily_ingest(spark, sf):
     inbox, store = new_shared_path(spark, "inbox"), new_shared_path(spark, "store")
     fx.dated_inbox(fx.prompts(spark, sf), inbox)
     profiles, index = _profiles(spark, sf), _index(spark, sf)
-    daily_stream.run(spark, inbox, store, index, profiles)
+    day = files.file_date(F.col("_metadata.file_path"))
+    daily_stream.run(spark, inbox, store, index, profiles, date_of=day)
     return sinks.read_counts(spark, store).select("date", "category", "sub_category", "count")

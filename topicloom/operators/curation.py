@@ -193,7 +193,10 @@ def translate_terms(texts: DataFrame, dictionary: dict[str, str], text_col: str)
         text = F.regexp_replace(text, whole, dictionary[phrase])
     words = {k: v for k, v in dictionary.items() if " " not in k}
     pieces = tx.find_all(text, rf"[{tx.WORD}]+|[^{tx.WORD}]+")
-    translated = F.transform(pieces, lambda p: F.coalesce(_lookup(words, p), p))
+    # most words are in no dictionary, which one hash lookup tells
+    translated = F.transform(
+        pieces, lambda p: F.when(p.isin(list(words)), _lookup(words, p)).otherwise(p)
+    )
     return texts.withColumn("translated", F.array_join(translated, ""))
 
 

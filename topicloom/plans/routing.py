@@ -88,12 +88,13 @@ def route_english(
 ) -> DataFrame:
     """The whole run: language, gate, routing and, on request, rescue.
 
-    The prepared English prompts are written once between language and label
-    routing, as several later steps read them.  ``rescue_rows`` takes the prepared
-    prompts and the hits and returns ``(id, tax_idx)`` for texts without a hit.
+    The English prompts that pass the gate are written once between language and
+    label routing, as several later steps read them; what follows from their text
+    alone is cheaper to compute again than to store.  ``rescue_rows`` takes the
+    prepared prompts and the hits and returns ``(id, tax_idx)`` for texts without a hit.
     """
     english, _ = language.split_english(language.route_languages(prompts, profiles, id_col))
-    prepared = materialize(prepare(english), "prepared")
+    prepared = prepare(materialize(gates.garbage_gate(english), "english"), gate=False)
     rescued = None
     if rescue_rows is not None:
         hits = materialize(official_hits(prepared, index, id_col, **options), "hits")

@@ -25,7 +25,7 @@ CATEGORISED_SCHEMA = T.StructType(
         T.StructField("subcategory_name", T.StringType()),
     ]
 )
-HEADER_PATTERN = r"(?i)^\S*prompt\S*$"
+HEADER_PATTERN = r"(?iU)^\S*prompt\S*$"
 DATE_PATTERN = r"(\d{4}-\d{2}-\d{2})"
 
 
