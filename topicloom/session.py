@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -44,3 +45,15 @@ def shared_folder(spark: SparkSession) -> str:
 def new_shared_path(spark: SparkSession, name: str) -> str:
     """A path not used before, under the shared folder."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, unless they find it installed.
+
+    Workers get the path in their environment; on a cluster it must exist on every
+    machine, or the package be installed or sent with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
