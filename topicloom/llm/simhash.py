@@ -76,14 +76,35 @@ def variant_keys(fp: Column, distance: int) -> Column:
     return F.array(*keys)
 
 
+def _first_open_bit(x: Column, distance: int) -> Column:
+    """The one key under which a pair with differing bits ``x`` is taken, as the place of its open bit.
+
+    It lies in the first segment with at most one differing bit: that bit, or the
+    segment's first one where none differs.
+    """
+    count = distance // 2 + 1
+    bounds = [BITS * k // count for k in range(count + 1)]
+    place = F.lit(-1)
+    for a, b in reversed(list(zip(bounds, bounds[1:]))):
+        part = F.shiftrightunsigned(x, a).bitwiseAND(F.lit((1 << (b - a)) - 1))
+        bit = F.when(part == 0, a).otherwise(F.bit_count(part - 1) + a)
+        place = F.when(F.bit_count(part) <= 1, bit).otherwise(place)
+    return place
+
+
 def links(distinct: DataFrame, distance: int = 4) -> DataFrame:
-    """``(a, b)``, a < b: all pairs of the distinct ``fp`` that differ in at most ``distance`` bits."""
+    """``(a, b)``, a < b: all pairs of the distinct ``fp`` that differ in at most ``distance`` bits.
+
+    A pair may share many keys; it leaves the join under the first of them alone.
+    """
     if not 2 <= distance <= 62:
         raise ValueError("distance must be from 2 to 62")
     index = distinct.select("fp", F.explode(variant_keys(F.col("fp"), distance)).alias("key"))
     left, right = index.withColumnRenamed("fp", "a"), index.withColumnRenamed("fp", "b")
-    near = (F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= distance)
-    return left.join(right, "key").filter(near).select("a", "b").distinct()
+    x = F.col("a").bitwiseXOR(F.col("b"))
+    near = (F.col("a") < F.col("b")) & (F.bit_count(x) <= distance)
+    first = F.shiftrightunsigned("key", 33) == _first_open_bit(x, distance)
+    return left.join(right.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & near & first).select("a", "b")
 
 
 def near_duplicates(documents: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
