@@ -31,7 +31,7 @@ from topicloom.llm.common import binaries, slices
 from topicloom.plans.bounds import materialize
 
 #: Bytes of text in a chunk, and n-grams in a range, about.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 16 << 20
 RANGE_GRAMS = 1 << 20
 #: Contexts seen up to 1, 2, 4, ... times have a bucket each; the last one is open.
 BUCKETS = 12
@@ -44,7 +44,28 @@ RATIO_STEP = 0.05
 END = b"\n"
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 SCORED, COUNTED, HELD_BACK = 0, 1, 2
-CHUNK_SCHEMA = "chunk long, kind int, doc_ids binary, lengths binary, tokens binary, vocabulary binary, n_tokens long"
+CHUNK_SCHEMA = "chunk long, kind int, doc_ids binary, lengths binary, tokens binary, vocabulary binary, n_tokens long, n_words long"
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Numbers by byte planes, compressed: leading bytes of small numbers cost next to nothing."""
+    planes = values.view(np.uint8).reshape(-1, values.itemsize).T
+    return pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def unpacked(data: bytes, dtype, n: int) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    planes = np.frombuffer(pa.decompress(data, n * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(dtype).ravel()
+
+
+def packed_sorted(values: np.ndarray) -> bytes:
+    """Sorted numbers, by their differences."""
+    return packed(np.diff(values, prepend=values.dtype.type(0)))
+
+
+def unpacked_sorted(data: bytes, dtype, n: int) -> np.ndarray:
+    return np.cumsum(unpacked(data, dtype, n), dtype=dtype)
 
 
 def _combined(context: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -80,8 +101,8 @@ def chunked(documents: DataFrame, held_out: Column) -> DataFrame:
             packed_ids = sink.getvalue().to_pybytes()
         lengths = np.array([len(own) for own in words], np.int32)
         name = int.from_bytes(os.urandom(8), "big") >> 1
-        blobs = [packed_ids, lengths.tobytes(), tokens.tobytes(), hashes[order].tobytes()]
-        columns = [pa.array([name]), pa.array([kind], pa.int32()), *[pa.array([x], pa.binary()) for x in blobs], pa.array([len(tokens)])]
+        blobs = [packed_ids, lengths.tobytes(), packed(tokens), packed_sorted(hashes[order])]
+        columns = [pa.array([name]), pa.array([kind], pa.int32()), *[pa.array([x], pa.binary()) for x in blobs], pa.array([len(tokens)]), pa.array([len(local)])]
         return pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in CHUNK_SCHEMA.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -105,10 +126,10 @@ def chunked(documents: DataFrame, held_out: Column) -> DataFrame:
 class Chunk:
     """A chunk's tokens and the hashes of its n-grams; -1 stands where a document has no such n-gram."""
 
-    def __init__(self, tokens: bytes, lengths: bytes, vocabulary: bytes, order: int):
-        self.tokens = np.frombuffer(tokens, np.int32)
-        self.lengths = np.frombuffer(lengths, np.int32)
-        words = np.frombuffer(vocabulary, np.uint64)
+    def __init__(self, row: dict, order: int):
+        self.tokens = unpacked(row["tokens"], np.int32, row["n_tokens"])
+        self.lengths = np.frombuffer(row["lengths"], np.int32)
+        words = unpacked_sorted(row["vocabulary"], np.uint64, row["n_words"])
         self.keys, self.at = [words], [self.tokens]
         place = np.arange(len(self.tokens)) - np.repeat(np.cumsum(self.lengths) - self.lengths, self.lengths)
         code = words[self.tokens]
@@ -128,12 +149,12 @@ class Chunk:
 
 
 def _asked(chunks: DataFrame, order: int, bits: int) -> DataFrame:
-    """``(n, part, chunk, kind, keys, counts)``: the distinct n-grams of each chunk, by range of their hashes."""
+    """``(n, part, chunk, kind, size, keys, counts)``: the distinct n-grams of each chunk, by range of their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                chunk = Chunk(row["tokens"], row["lengths"], row["vocabulary"], order)
+                chunk = Chunk(row, order)
                 for k in range(1, order + 1):
                     keys, at = chunk.keys[k - 1], chunk.at[k - 1]
                     counts = np.bincount(at[at >= 0], minlength=len(keys)).astype(np.uint32)
@@ -145,47 +166,51 @@ def _asked(chunks: DataFrame, order: int, bits: int) -> DataFrame:
                         pa.array(part[starts]),
                         pa.array(np.full(len(starts), row["chunk"])),
                         pa.array(np.full(len(starts), row["kind"], np.int32)),
-                        pa.array([keys[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
-                        pa.array([counts[a:b].tobytes() for a, b in zip(starts, ends)], pa.binary()),
+                        pa.array(ends - starts, pa.int64()),
+                        pa.array([packed_sorted(keys[a:b]) for a, b in zip(starts, ends)], pa.binary()),
+                        pa.array([packed(counts[a:b]) for a, b in zip(starts, ends)], pa.binary()),
                     ]
-                    yield pa.RecordBatch.from_arrays(columns, names=["n", "part", "chunk", "kind", "keys", "counts"])
+                    yield pa.RecordBatch.from_arrays(columns, names=["n", "part", "chunk", "kind", "size", "keys", "counts"])
 
-    return chunks.mapInArrow(run, "n int, part long, chunk long, kind int, keys binary, counts binary")
+    return chunks.mapInArrow(run, "n int, part long, chunk long, kind int, size long, keys binary, counts binary")
 
 
 _TOTALS = -1
 
 
 def _answered(asked: DataFrame) -> DataFrame:
-    """``(chunk, n, part, counted, trained)``: for each asked slice the sums over all chunks.
+    """``(chunk, n, part, size, counted, trained)``: for each asked slice the sums over all chunks.
 
-    ``counted`` leaves out what is held back, ``trained`` is the whole training count.  A
-    row of chunk -1 has the sums over the range: distinct and all, for both.
+    ``counted`` leaves out what is held back and goes to held-back chunks alone, ``trained``
+    is the whole training count.  A row of chunk -1 has the sums over the range: distinct
+    and all, for both.
     """
 
     def run(table: pa.Table) -> pa.Table:
         n, part = table["n"][0].as_py(), table["part"][0].as_py()
-        blobs = table["keys"].to_pylist()
-        kind = np.repeat(table["kind"].to_numpy(), [len(x) // 8 for x in blobs])
-        keys, inverse = np.unique(np.frombuffer(b"".join(blobs), np.uint64), return_inverse=True)
-        times = np.frombuffer(b"".join(table["counts"].to_pylist()), np.uint32).astype(np.float64)
-        sums = [
+        sizes, kinds = table["size"].to_numpy(), table["kind"].to_numpy()
+        asked = [unpacked_sorted(x, np.uint64, k) for x, k in zip(table["keys"].to_pylist(), sizes)]
+        times = [unpacked(x, np.uint32, k) for x, k in zip(table["counts"].to_pylist(), sizes)]
+        kind = np.repeat(kinds, sizes)
+        keys, inverse = np.unique(np.concatenate(asked), return_inverse=True)
+        times = np.concatenate(times).astype(np.float64)
+        counted, trained = (
             np.bincount(inverse, times * which, len(keys)).astype(np.uint32)
             for which in (kind == COUNTED, kind != SCORED)
-        ]
-        ends = np.cumsum([len(x) // 8 for x in blobs])
-        answers = [[s[inverse[a:b]].tobytes() for a, b in zip(np.r_[0, ends[:-1]], ends)] for s in sums]
-        totals = [np.array([(s > 0).sum(), s.sum(dtype=np.int64)], np.int64).tobytes() for s in sums]
-        rows = len(blobs) + 1
+        )
+        own = np.split(inverse, np.cumsum(sizes)[:-1])
+        totals = [np.array([(s > 0).sum(), s.sum(dtype=np.int64)], np.int64).tobytes() for s in (counted, trained)]
+        rows = len(own) + 1
         return pa.table({
             "chunk": pa.array([*table["chunk"].to_pylist(), _TOTALS], pa.int64()),
             "n": pa.array([n] * rows, pa.int32()),
             "part": pa.array([part] * rows, pa.int64()),
-            "counted": pa.array([*answers[0], totals[0]], pa.binary()),
-            "trained": pa.array([*answers[1], totals[1]], pa.binary()),
+            "size": pa.array([*sizes.tolist(), 2], pa.int64()),
+            "counted": pa.array([*(packed(counted[i]) if k == HELD_BACK else None for i, k in zip(own, kinds)), totals[0]], pa.binary()),
+            "trained": pa.array([*(packed(trained[i]) for i in own), totals[1]], pa.binary()),
         })
 
-    schema = "chunk long, n int, part long, counted binary, trained binary"
+    schema = "chunk long, n int, part long, size long, counted binary, trained binary"
     return materialize(asked.groupBy("n", "part").applyInArrow(run, schema), "lm-counts")
 
 
@@ -228,9 +253,12 @@ def _interpolated(values, k, chunk, lower, weight):
 
 def _grouped(left: pa.Table, right: pa.Table, order: int, column: str) -> tuple[Chunk, list[np.ndarray], dict]:
     row = left.to_pylist()[0]
-    slices_of = sorted(zip(right["n"].to_pylist(), right["part"].to_pylist(), right[column].to_pylist()))
-    counts = [np.frombuffer(b"".join(x for n, _, x in slices_of if n == k), np.uint32) for k in range(1, order + 1)]
-    return Chunk(row["tokens"], row["lengths"], row["vocabulary"], order), counts, row
+    slices_of = sorted(zip(*(right[c].to_pylist() for c in ("n", "part", "size", column))))
+    counts = [
+        np.concatenate([np.zeros(0, np.uint32), *(unpacked(x, np.uint32, size) for n, _, size, x in slices_of if n == k)])
+        for k in range(1, order + 1)
+    ]
+    return Chunk(row, order), counts, row
 
 
 def _learn_mix(chunks: DataFrame, answers: DataFrame, unigrams: Unigrams, order: int) -> dict[int, np.ndarray]:
@@ -322,5 +350,5 @@ def score(documents: DataFrame, held_out: Column, order: int = 2) -> DataFrame:
             pa.array(sums[2]),
         ], names=names)
 
-    rows = answers.filter(F.col("chunk") != _TOTALS).select("chunk", "n", "part", "trained")
+    rows = answers.filter(F.col("chunk") != _TOTALS).select("chunk", "n", "part", "size", "trained")
     return chunks.groupBy("chunk").cogroup(rows.groupBy("chunk")).applyInArrow(run, SCORE_SCHEMA)
