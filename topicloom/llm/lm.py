@@ -31,7 +31,7 @@ from topicloom.llm.common import binaries, slices
 from topicloom.plans.bounds import materialize
 
 #: Bytes of text in a chunk, and n-grams in a range, about.
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 12 << 20
 RANGE_GRAMS = 1 << 20
 #: Contexts seen up to 1, 2, 4, ... times have a bucket each; the last one is open.
 BUCKETS = 12
