@@ -34,6 +34,8 @@ WINDOW, STEP = 24, 12
 WORD_ROWS, GRAM_ROWS, WORD_DIM, GRAM_DIM, HIDDEN = 4096, 8192, 8, 16, 8
 GRAM_SIZES = (3, 4, 5)
 PASSES, BATCH, RATE = 7, 128, 0.01
+#: Few documents are gone through oftener, until there were about so many steps.
+LEAST_STEPS = 200
 _F = np.float32
 
 
@@ -217,7 +219,8 @@ class ToxicityModel:
         r = np.random.default_rng(2)
         best = self._first_guess(words, ids, owner, y)
         adam = _Adam(self.net.p)
-        for number in range(PASSES):
+        passes = max(PASSES, LEAST_STEPS * BATCH // (2 * len(texts)))
+        for number in range(passes):
             top = _highest(best, owner)
             clean = np.flatnonzero(y[owner] == 0)
             drawn = r.choice(clean, min(len(clean), len(texts)), replace=False) if len(clean) else clean
@@ -225,7 +228,7 @@ class ToxicityModel:
             r.shuffle(use)
             for a in range(0, len(use), BATCH):
                 part = use[a : a + BATCH]
-                rate = RATE * (1 - 0.8 * number / PASSES)
+                rate = RATE * (1 - 0.8 * number / passes)
                 adam.step(self.net.p, self.net.gradients(ids[part], y[owner[part]], words), rate)
             best = self._window_logits(words, ids)
         self.slope, self.shift = linear.fit_sigmoid(np.maximum.reduceat(best, _starts(owner)), y)
