@@ -81,7 +81,7 @@ def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("Category "), category).alias("category_name"),
         item.alias("subcategory_id"),
         F.concat(F.lit("Topic "), item).alias("subcategory_name"),
-        F.array_join(F.slice(words, 1, 20), " ").alias("keywords"),
+        F.array_join(words, " ").alias("keywords"),
     )
 
 

@@ -105,96 +105,246 @@ PATCH_RULES = [
 
 # (any of these substrings, suffix); first match.  Names below five words only.
 LONG_SUFFIX_RULES = [
-    ("java, python, c++, react, angular, node, express, api, graphql, git, terraform, software, code",
-     "Software Engineering and Architecture"),
-    ("stacktrace, exception, null, leak, cpu, crash, outage, bug, defect, error",
-     "Issue Troubleshooting and Debugging"),
-    ("sql, table, column, etl, nosql, mongodb, hadoop, bigquery, dax, data, row, csv",
-     "Database Querying and Analytics"),
-    ("aws, kubernetes, docker, ci, cd, jenkins, network, load balancer, gateway, linux, system",
-     "Cloud Infrastructure and Deployment"),
-    ("auth, rbac, encryption, ssl, vulnerability, phishing, compliance, gdpr, risk, security",
-     "Security Compliance and Risk Management"),
-    ("email, grammar, translate, presentation, documentation, slack, message, write, diagram, meeting",
-     "Corporate Communications and Drafting"),
-    ("roi, budget, roadmap, market, sales, revenue, pricing, finance, treasury, accounting, investment, "
-     "capital, ebitda",
-     "Financial Strategy and Market Planning"),
-    ("agile, scrum, ticket, workflow, meeting, release, qa, test, jira, schedule",
-     "Agile Project Management and Testing"),
-    ("hr, talent, attrition, mentorship, payroll, training, immigration, benefits, employee",
-     "Human Resources and Talent Management"),
-    ("amex, card, merchant, offers, account, banking",
-     "AMEX Banking and Card Operations"),
-    ("excel, chart, statistics, pandas, summarize, brainstorm, math, plot, power bi, tableau",
-     "Data Analysis and Statistical Processing"),
+    (
+        [
+            "java", "python", "c++", "react", "angular", "node", "express", "api", "graphql",
+            "git", "terraform", "software", "code",
+        ],
+        "Software Engineering and Architecture",
+    ),
+    (
+        [
+            "stacktrace", "exception", "null", "leak", "cpu", "crash", "outage", "bug", "defect",
+            "error",
+        ],
+        "Issue Troubleshooting and Debugging",
+    ),
+    (
+        [
+            "sql", "table", "column", "etl", "nosql", "mongodb", "hadoop", "bigquery", "dax",
+            "data", "row", "csv",
+        ],
+        "Database Querying and Analytics",
+    ),
+    (
+        [
+            "aws", "kubernetes", "docker", "ci", "cd", "jenkins", "network", "load balancer",
+            "gateway", "linux", "system",
+        ],
+        "Cloud Infrastructure and Deployment",
+    ),
+    (
+        [
+            "auth", "rbac", "encryption", "ssl", "vulnerability", "phishing", "compliance", "gdpr",
+            "risk", "security",
+        ],
+        "Security Compliance and Risk Management",
+    ),
+    (
+        [
+            "email", "grammar", "translate", "presentation", "documentation", "slack", "message",
+            "write", "diagram", "meeting",
+        ],
+        "Corporate Communications and Drafting",
+    ),
+    (
+        [
+            "roi", "budget", "roadmap", "market", "sales", "revenue", "pricing", "finance",
+            "treasury", "accounting", "investment", "capital", "ebitda",
+        ],
+        "Financial Strategy and Market Planning",
+    ),
+    (
+        [
+            "agile", "scrum", "ticket", "workflow", "meeting", "release", "qa", "test", "jira",
+            "schedule",
+        ],
+        "Agile Project Management and Testing",
+    ),
+    (
+        [
+            "hr", "talent", "attrition", "mentorship", "payroll", "training", "immigration",
+            "benefits", "employee",
+        ],
+        "Human Resources and Talent Management",
+    ),
+    (
+        [
+            "amex", "card", "merchant", "offers", "account", "banking",
+        ],
+        "AMEX Banking and Card Operations",
+    ),
+    (
+        [
+            "excel", "chart", "statistics", "pandas", "summarize", "brainstorm", "math", "plot",
+            "power bi", "tableau",
+        ],
+        "Data Analysis and Statistical Processing",
+    ),
 ]
 LONG_SUFFIX_DEFAULT = "Operations and Strategic Planning"
 LONG_SUFFIX_MIN_WORDS = 5
 
 # The same idea with short suffixes.
 SHORT_SUFFIX_RULES = [
-    ("java, python, c++, react, angular, node, express, api, graphql, git, terraform, software, code",
-     "Development Practices"),
-    ("stacktrace, exception, null, leak, cpu, crash, outage, bug, defect, error, badrequest, grep",
-     "Error Triage"),
-    ("sql, table, column, etl, nosql, mongodb, hadoop, bigquery, dax, data, row, csv",
-     "Data Analytics"),
-    ("aws, kubernetes, docker, ci, cd, jenkins, network, load balancer, gateway, linux, system, "
-     "directory, remote, browser",
-     "Cloud Infrastructure"),
-    ("auth, rbac, encryption, ssl, vulnerability, phishing, compliance, gdpr, risk, security, guard, otp, "
-     "identification",
-     "Security Compliance"),
-    ("email, grammar, translate, presentation, documentation, slack, message, write, diagram, meeting",
-     "Business Communications"),
-    ("roi, budget, roadmap, market, sales, revenue, pricing, finance, treasury, accounting, investment, "
-     "capital, ebitda, invoice, loss",
-     "Financial Strategy"),
-    ("agile, scrum, ticket, workflow, meeting, release, qa, test, jira, schedule, argument, rule",
-     "Project Management"),
-    ("hr, talent, attrition, mentorship, payroll, training, immigration, benefits, employee, staff, "
-     "admin, candidate",
-     "Human Resources"),
-    ("amex, card, merchant, offers, account, banking",
-     "Banking Operations"),
-    ("excel, chart, statistics, pandas, summarize, brainstorm, math, plot, power bi, tableau",
-     "Statistical Analysis"),
+    (
+        [
+            "java", "python", "c++", "react", "angular", "node", "express", "api", "graphql",
+            "git", "terraform", "software", "code",
+        ],
+        "Development Practices",
+    ),
+    (
+        [
+            "stacktrace", "exception", "null", "leak", "cpu", "crash", "outage", "bug", "defect",
+            "error", "badrequest", "grep",
+        ],
+        "Error Triage",
+    ),
+    (
+        [
+            "sql", "table", "column", "etl", "nosql", "mongodb", "hadoop", "bigquery", "dax",
+            "data", "row", "csv",
+        ],
+        "Data Analytics",
+    ),
+    (
+        [
+            "aws", "kubernetes", "docker", "ci", "cd", "jenkins", "network", "load balancer",
+            "gateway", "linux", "system", "directory", "remote", "browser",
+        ],
+        "Cloud Infrastructure",
+    ),
+    (
+        [
+            "auth", "rbac", "encryption", "ssl", "vulnerability", "phishing", "compliance", "gdpr",
+            "risk", "security", "guard", "otp", "identification",
+        ],
+        "Security Compliance",
+    ),
+    (
+        [
+            "email", "grammar", "translate", "presentation", "documentation", "slack", "message",
+            "write", "diagram", "meeting",
+        ],
+        "Business Communications",
+    ),
+    (
+        [
+            "roi", "budget", "roadmap", "market", "sales", "revenue", "pricing", "finance",
+            "treasury", "accounting", "investment", "capital", "ebitda", "invoice", "loss",
+        ],
+        "Financial Strategy",
+    ),
+    (
+        [
+            "agile", "scrum", "ticket", "workflow", "meeting", "release", "qa", "test", "jira",
+            "schedule", "argument", "rule",
+        ],
+        "Project Management",
+    ),
+    (
+        [
+            "hr", "talent", "attrition", "mentorship", "payroll", "training", "immigration",
+            "benefits", "employee", "staff", "admin", "candidate",
+        ],
+        "Human Resources",
+    ),
+    (
+        [
+            "amex", "card", "merchant", "offers", "account", "banking",
+        ],
+        "Banking Operations",
+    ),
+    (
+        [
+            "excel", "chart", "statistics", "pandas", "summarize", "brainstorm", "math", "plot",
+            "power bi", "tableau",
+        ],
+        "Statistical Analysis",
+    ),
 ]
 SHORT_SUFFIX_DEFAULT = "Strategic Planning"
 
 # The variant used to name discovered clusters.
 CLUSTER_SUFFIX_RULES = [
-    ("java, python, c++, react, angular, node, express, api, graphql, git, terraform, software, code, "
-     "script, deploy, cdn, operator",
-     "Development Practices"),
-    ("stacktrace, exception, null, leak, cpu, crash, outage, bug, defect, error, badrequest, grep, fail",
-     "Error Triage"),
-    ("sql, table, column, etl, nosql, mongodb, hadoop, bigquery, dax, data, row, csv, db",
-     "Data Analytics"),
-    ("aws, kubernetes, docker, ci, cd, jenkins, network, load balancer, gateway, linux, system, "
-     "directory, remote, browser, env, host",
-     "Cloud Infrastructure"),
-    ("auth, rbac, encryption, ssl, vulnerability, phishing, compliance, gdpr, risk, security, guard, otp, "
-     "identification, compromise, aml, ppe",
-     "Security Compliance"),
-    ("email, grammar, translate, presentation, documentation, slack, message, write, diagram, meeting, "
-     "conclusion, teach, rush, summarize",
-     "Business Communications"),
-    ("roi, budget, roadmap, market, sales, revenue, pricing, finance, treasury, accounting, investment, "
-     "capital, ebitda, invoice, loss, stock",
-     "Financial Strategy"),
-    ("agile, scrum, ticket, workflow, meeting, release, qa, test, jira, schedule, argument, rule, "
-     "playbook, phases, ongoing",
-     "Project Management"),
-    ("hr, talent, attrition, mentorship, payroll, training, immigration, benefits, employee, staff, "
-     "admin, candidate, candidates, wife, spot",
-     "Human Resources"),
-    ("amex, card, merchant, offers, account, banking, fins, privileged",
-     "Banking Operations"),
-    ("excel, chart, statistics, pandas, summarize, brainstorm, math, plot, power bi, tableau, grid, "
-     "weighted, maps",
-     "Statistical Analysis"),
+    (
+        [
+            "java", "python", "c++", "react", "angular", "node", "express", "api", "graphql",
+            "git", "terraform", "software", "code", "script", "deploy", "cdn", "operator",
+        ],
+        "Development Practices",
+    ),
+    (
+        [
+            "stacktrace", "exception", "null", "leak", "cpu", "crash", "outage", "bug", "defect",
+            "error", "badrequest", "grep", "fail",
+        ],
+        "Error Triage",
+    ),
+    (
+        [
+            "sql", "table", "column", "etl", "nosql", "mongodb", "hadoop", "bigquery", "dax",
+            "data", "row", "csv", "db",
+        ],
+        "Data Analytics",
+    ),
+    (
+        [
+            "aws", "kubernetes", "docker", "ci", "cd", "jenkins", "network", "load balancer",
+            "gateway", "linux", "system", "directory", "remote", "browser", "env", "host",
+        ],
+        "Cloud Infrastructure",
+    ),
+    (
+        [
+            "auth", "rbac", "encryption", "ssl", "vulnerability", "phishing", "compliance", "gdpr",
+            "risk", "security", "guard", "otp", "identification", "compromise", "aml", "ppe",
+        ],
+        "Security Compliance",
+    ),
+    (
+        [
+            "email", "grammar", "translate", "presentation", "documentation", "slack", "message",
+            "write", "diagram", "meeting", "conclusion", "teach", "rush", "summarize",
+        ],
+        "Business Communications",
+    ),
+    (
+        [
+            "roi", "budget", "roadmap", "market", "sales", "revenue", "pricing", "finance",
+            "treasury", "accounting", "investment", "capital", "ebitda", "invoice", "loss",
+            "stock",
+        ],
+        "Financial Strategy",
+    ),
+    (
+        [
+            "agile", "scrum", "ticket", "workflow", "meeting", "release", "qa", "test", "jira",
+            "schedule", "argument", "rule", "playbook", "phases", "ongoing",
+        ],
+        "Project Management",
+    ),
+    (
+        [
+            "hr", "talent", "attrition", "mentorship", "payroll", "training", "immigration",
+            "benefits", "employee", "staff", "admin", "candidate", "candidates", "wife", "spot",
+        ],
+        "Human Resources",
+    ),
+    (
+        [
+            "amex", "card", "merchant", "offers", "account", "banking", "fins", "privileged",
+        ],
+        "Banking Operations",
+    ),
+    (
+        [
+            "excel", "chart", "statistics", "pandas", "summarize", "brainstorm", "math", "plot",
+            "power bi", "tableau", "grid", "weighted", "maps",
+        ],
+        "Statistical Analysis",
+    ),
 ]
 CLUSTER_PREFIX = "Auto Cluster: "
 SHORT_SUFFIXES = [suffix for _, suffix in SHORT_SUFFIX_RULES] + [SHORT_SUFFIX_DEFAULT]
@@ -204,19 +354,25 @@ NAME_STOPWORDS = [
 ]
 
 # The widely published English stop list (179 words).
-ENGLISH_STOPWORDS = (
-    "i me my myself we our ours ourselves you you're you've you'll you'd your yours yourself "
-    "yourselves he him his himself she she's her hers herself it it's its itself they them "
-    "their theirs themselves what which who whom this that that'll these those am is are was "
-    "were be been being have has had having do does did doing a an the and but if or because "
-    "as until while of at by for with about against between into through during before after "
-    "above below to from up down in out on off over under again further then once here there "
-    "when where why how all any both each few more most other some such no nor not only own "
-    "same so than too very s t can will just don don't should should've now d ll m o re ve y "
-    "ain aren aren't couldn couldn't didn didn't doesn doesn't hadn hadn't hasn hasn't haven "
-    "haven't isn isn't ma mightn mightn't mustn mustn't needn needn't shan shan't shouldn "
-    "shouldn't wasn wasn't weren weren't won won't wouldn wouldn't"
-).split()
+ENGLISH_STOPWORDS = [
+    "i", "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "you're", "you've",
+    "you'll", "you'd", "your", "yours", "yourself", "yourselves", "he", "him", "his", "himself",
+    "she", "she's", "her", "hers", "herself", "it", "it's", "its", "itself", "they", "them",
+    "their", "theirs", "themselves", "what", "which", "who", "whom", "this", "that", "that'll",
+    "these", "those", "am", "is", "are", "was", "were", "be", "been", "being", "have", "has",
+    "had", "having", "do", "does", "did", "doing", "a", "an", "the", "and", "but", "if", "or",
+    "because", "as", "until", "while", "of", "at", "by", "for", "with", "about", "against",
+    "between", "into", "through", "during", "before", "after", "above", "below", "to", "from",
+    "up", "down", "in", "out", "on", "off", "over", "under", "again", "further", "then", "once",
+    "here", "there", "when", "where", "why", "how", "all", "any", "both", "each", "few", "more",
+    "most", "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so", "than",
+    "too", "very", "s", "t", "can", "will", "just", "don", "don't", "should", "should've", "now",
+    "d", "ll", "m", "o", "re", "ve", "y", "ain", "aren", "aren't", "couldn", "couldn't", "didn",
+    "didn't", "doesn", "doesn't", "hadn", "hadn't", "hasn", "hasn't", "haven", "haven't", "isn",
+    "isn't", "ma", "mightn", "mightn't", "mustn", "mustn't", "needn", "needn't", "shan", "shan't",
+    "shouldn", "shouldn't", "wasn", "wasn't", "weren", "weren't", "won", "won't", "wouldn",
+    "wouldn't",
+]
 
 NAME_FIXES = {
     "Sow Statement Of": "Statement of Work (SOW)",
@@ -286,8 +442,3 @@ TECH_INJECTIONS = {
     "Terraform Ansible Infrastructure":
         "terraform ansible infrastructure as code yaml playbook configuration",
 }
-
-
-def needles(words: str) -> list[str]:
-    """The substrings of a suffix rule."""
-    return words.split(", ")

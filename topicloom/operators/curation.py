@@ -6,6 +6,7 @@ parameters with the fixed values as defaults.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -14,7 +15,7 @@ from topicloom.functions import fixed_values as fv, text as tx
 from topicloom.operators import terms
 from topicloom.plans.bounds import broadcast_if_small, materialize
 
-Rules = list[tuple[str, str]]
+Rules = list[tuple[list[str], str]]
 
 
 def _lookup(table: dict[str, str], key: Column) -> Column:
@@ -27,10 +28,14 @@ def _keywords() -> Column:
     return F.coalesce("keywords", F.lit(""))
 
 
+#: Chinese characters, Japanese syllables and Thai: written without blanks between words.
+UNSPACED = re.compile("[\u0e00-\u0e7f\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff]")
+
+
 def first_rule(name: Column, rules: Rules, default: str) -> Column:
     """Suffix of the first rule with a substring in the lower-case name."""
     lowered = F.lower(name)
-    cases = [(tx.contains_any(lowered, fv.needles(words)), suffix) for words, suffix in rules]
+    cases = [(tx.contains_any(lowered, words), suffix) for words, suffix in rules]
     return reduce(lambda w, c: w.when(c[0], c[1]), cases[1:], F.when(*cases[0])).otherwise(default)
 
 
@@ -184,14 +189,19 @@ def enrich_by_category(labels: DataFrame, enrichment: DataFrame) -> DataFrame:
 def translate_terms(texts: DataFrame, dictionary: dict[str, str], text_col: str) -> DataFrame:
     """Add ``translated``: words and phrases found in a small dictionary in English.
 
-    Longer phrases go first; a word is replaced only as a whole.
+    Longer phrases go first; a word is replaced only as a whole.  A key that is not one
+    run of word characters (``d'entreprise``) counts as a phrase.  Scripts without blanks
+    have no whole words: their keys are replaced wherever they stand.
     """
-    phrases = sorted((p for p in dictionary if " " in p), key=lambda p: (-len(p), p))
+    one_word = re.compile(r"\w+")
+    words = {k: v for k, v in dictionary.items() if one_word.fullmatch(k) and not UNSPACED.search(k)}
+    phrases = sorted((p for p in dictionary if p and p not in words), key=lambda p: (-len(p), p))
     text = F.lower(text_col)
     for phrase in phrases:
-        whole = rf"{tx.NOT_AFTER_WORD}{phrase}{tx.NOT_BEFORE_WORD}"
-        text = F.regexp_replace(text, whole, dictionary[phrase])
-    words = {k: v for k, v in dictionary.items() if " " not in k}
+        quoted = re.sub(r"([^\w\s])", r"\\\1", phrase)
+        if not UNSPACED.search(phrase):
+            quoted = rf"{tx.NOT_AFTER_WORD}{quoted}{tx.NOT_BEFORE_WORD}"
+        text = F.regexp_replace(text, quoted, re.sub(r"([\\$])", r"\\\1", dictionary[phrase]))
     pieces = tx.find_all(text, rf"[{tx.WORD}]+|[^{tx.WORD}]+")
     # most words are in no dictionary, which one hash lookup tells
     translated = F.transform(

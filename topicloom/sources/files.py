@@ -84,6 +84,21 @@ def first_existing(spark: SparkSession, *paths: str) -> str:
     raise FileNotFoundError(f"none of {paths} exists")
 
 
+def without_headers(lines: DataFrame) -> DataFrame:
+    """Drop the first kept line of each file where it is a header.
+
+    ``lines`` has ``prompt_id`` and ``raw_text``, and of each line's file ``_path`` and ``_block``.
+    """
+    place = F.struct("_block", "prompt_id")
+    headers = (
+        lines.groupBy("_path")
+        .agg(F.min(F.struct(place.alias("p"), F.col("raw_text").alias("t"))).alias("_first"))
+        .filter(is_header(F.col("_first.t")))
+        .select(F.col("_first.p.prompt_id").alias("prompt_id"))
+    )
+    return lines.join(headers, "prompt_id", "left_anti")
+
+
 def read_prompts(spark: SparkSession, *paths: str, skip_header: bool = True) -> DataFrame:
     """``(prompt_id, raw_text, file_name)`` from line files.
 
@@ -103,16 +118,7 @@ def read_prompts(spark: SparkSession, *paths: str, skip_header: bool = True) ->
         .filter("raw_text <> ''")
     )
     if skip_header:
-        place = F.struct("_block", "prompt_id")
-        headers = (
-            lines.groupBy("_path")
-            .agg(F.min(F.struct(place.alias("p"), F.col("raw_text").alias("t"))).alias("_first"))
-            .filter(is_header(F.col("_first.t")))
-            .select(F.col("_first.p.prompt_id").alias("prompt_id"))
-        )
-        n_files = len(lines.inputFiles())
-        headers = F.broadcast(headers) if n_files <= 1_000_000 else headers
-        lines = lines.join(headers, "prompt_id", "left_anti")
+        lines = without_headers(lines)
     return lines.select("prompt_id", "raw_text", "file_name")
 
 
@@ -124,12 +130,15 @@ def file_date(file_name: Column) -> Column:
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with header, doubled quotes and a declared schema."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """CSV with header, doubled quotes and a declared schema.
+
+    Where no field holds a line break, ``multi_line=False`` lets Spark split large files.
+    """
     return (
         spark.read.option("header", True)
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .schema(schema)
         .csv(path)
     )
