@@ -459,6 +459,11 @@ ORACLE["daily_counts"] = f"""{with_(*_DAILY)}
 SELECT date, category_name AS category, subcategory_name AS sub_category, count(*) AS count
 FROM labelled GROUP BY ALL"""
 ORACLE["daily_ingest"] = ORACLE["daily_counts"]
+ORACLE["daily_totals_rescued"] = f"""{with_(*_DAILY)}
+SELECT date, count(*) AS count FROM labelled GROUP BY date"""
+ORACLE["dictionary_roundtrip"] = """
+SELECT 'd''密码 "' || coalesce(source, 'none') || CAST(doc_id % 9 AS VARCHAR) AS term,
+arg_max(coalesce(text, ''), doc_id) AS english FROM documents GROUP BY ALL"""
 _REASON = (
     f"CASE WHEN {SIGNATURE} THEN 'signature' WHEN {MOJIBAKE} THEN 'mojibake' "
     f"WHEN {GARBAGE_WORD} THEN 'garbage_word' WHEN {MANY} THEN 'non_ascii' ELSE 'kept' END"
@@ -509,7 +514,8 @@ ORACLE["stratified_sample"] = f"""{with_(*ROUTED, HITS, _STRATA)}
 SELECT prompt_id, subcategory_name, truncated_prompt FROM strata"""
 ORACLE["golden_set"] = f"""{with_(*ROUTED, HITS, _STRATA)}
 SELECT truncated_prompt AS prompt, category_name, subcategory_name, CAST(NULL AS INTEGER) AS "{fv.GRADE_COLUMN}"
-FROM strata ORDER BY draw, prompt_id LIMIT 150"""
+FROM strata ORDER BY draw, prompt_id LIMIT 500"""
+ORACLE["golden_set_capped"] = ORACLE["golden_set"].replace("LIMIT 500", "LIMIT 60")
 ORACLE["math_sample"] = f"""{with_(PROMPTS, PREPARED)}
 SELECT prompt_id, truncated_prompt FROM prepared ORDER BY {_DRAW}, prompt_id LIMIT 1000"""
 _GRADED = (

@@ -349,6 +349,16 @@ def daily_counts(spark, sf):
     return report.daily_counts(routed)
 
 
+@query
+def daily_totals_rescued(spark, sf):
+    """The daily run with rescue: rows per day, the same as without, as rescue moves rows between labels."""
+    index = _index(spark, sf)
+    routed = routing.route_english(
+        fx.prompts(spark, sf), _profiles(spark, sf), index, rescue_rows=learning.rescuer(index.stopwords)
+    )
+    return report.daily_counts(routed).groupBy("date").agg(F.sum("count").alias("count"))
+
+
 def flagship(spark, sf):
     """Language, gate and label routing of every prompt, counted per label."""
     routed = routing.route_english(fx.prompts(spark, sf), _profiles(spark, sf), _index(spark, sf))
@@ -427,7 +437,13 @@ def stratified_sample(spark, sf):
 
 @query
 def golden_set(spark, sf):
-    return quality.golden_set(_categorised(spark, sf), cap=150)
+    return quality.golden_set(_categorised(spark, sf), cap=500)
+
+
+@query
+def golden_set_capped(spark, sf):
+    """A cap below the number of sampled rows."""
+    return quality.golden_set(_categorised(spark, sf), cap=60)
 
 
 @query
@@ -562,6 +578,18 @@ def translate_terms(spark, sf):
     return done.select("prompt_id", "translated")
 
 
+@query
+def dictionary_roundtrip(spark, sf):
+    """Of a repeated term the entry with the largest id counts; terms have apostrophes and CJK."""
+    path = new_shared_path(spark, "dictionary")
+    term = F.concat(F.lit("d'密码 \""), F.coalesce("source", F.lit("none")), (F.col("doc_id") % 9).cast("string"))
+    entries = fx.documents(spark, sf).select(
+        "doc_id", term.alias("term"), F.coalesce("text", F.lit("")).alias("english")
+    )
+    sinks.write_dictionary(entries, path, "doc_id")
+    return files.read_dictionary(spark, path, lines=True)
+
+
 @query
 def taxonomy_health(spark, sf):
     labels = fx.curation_labels(spark, sf).withColumn("keywords", F.coalesce("keywords", F.lit("the of")))
@@ -632,8 +660,8 @@ def _rescued(spark, sf):
 @query
 def rescue_model(spark, sf):
     """The strongest terms of every label the rescue model learned."""
-    _, hits, model, _ = _once("rescue", spark, sf, _rescued)
-    classes = hits.select(F.col("tax_idx").alias("subcategory_id"), F.col("tax_idx").alias("label")).distinct()
+    _, _, model, _ = _once("rescue", spark, sf, _rescued)
+    classes = model.classes.withColumnRenamed("tax_idx", "subcategory_id")
     return learning.class_weights_of_model(model.classifier, model.features, classes)
 
 
@@ -671,7 +699,7 @@ def class_weights(spark, sf):
 
 def _intent(spark, sf):
     return learning.fit_intent(
-        _labelled_documents(spark, sf), "doc_id", "text", "quality", max_iter=10
+        _labelled_documents(spark, sf), "doc_id", "text", "quality"
     )
 
 
@@ -710,5 +738,5 @@ def daily_ingest(spark, sf):
     fx.dated_inbox(fx.prompts(spark, sf), inbox)
     profiles, index = _profiles(spark, sf), _index(spark, sf)
     day = files.file_date(F.col("_metadata.file_path"))
-    daily_stream.run(spark, inbox, store, index, profiles, date_of=day)
+    daily_stream.run(spark, inbox, store, index, profiles, new_shared_path(spark, "stream"), date_of=day)
     return sinks.read_counts(spark, store).select("date", "category", "sub_category", "count")

@@ -13,7 +13,6 @@ from pyspark.ml.classification import (
     OneVsRestModel,
 )
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
@@ -24,6 +23,9 @@ from topicloom.plans.bounds import broadcast_if_small, materialize
 
 ELASTIC_MIX = 0.15
 REGULARISATION = 1e-4
+#: A fit ends at the tolerance or after so many steps; pass a larger ``max_iter`` where time allows.
+TOLERANCE = 1e-3
+MAX_STEPS = 30
 
 
 def word_and_char(stopwords: list[str]) -> Spaces:
@@ -44,6 +46,7 @@ def _log_loss(max_iter: int) -> LogisticRegression:
         elasticNetParam=ELASTIC_MIX,
         regParam=REGULARISATION,
         maxIter=max_iter,
+        tol=TOLERANCE,
         standardization=False,
         aggregationDepth=3,
     )
@@ -56,6 +59,8 @@ def _log_loss(max_iter: int) -> LogisticRegression:
 class RescueModel:
     features: TextFeatures
     classifier: LogisticRegressionModel
+    #: ``(tax_idx, label)`` of the labels that have a hit; the classifier knows no others.
+    classes: DataFrame
 
 
 def fit_rescue(
@@ -64,22 +69,23 @@ def fit_rescue(
     stopwords: list[str],
     id_col: str = "prompt_id",
     max_terms: int = fv.RESCUE_FEATURES,
-    max_iter: int = 30,
+    max_iter: int = MAX_STEPS,
 ) -> RescueModel | None:
     """Learn from the hits ``(id, tax_idx)``; the vocabulary covers all prepared texts.
 
     None when there is nothing to learn from: fewer than two labels among the hits.
     """
-    if hits.select("tax_idx").distinct().limit(2).count() < 2:
+    classes = number_classes(hits, "tax_idx")
+    if classes.limit(2).count() < 2:
         return None
     features = TextFeatures.fit(prepared, "processed_text", word_and_char(stopwords), max_terms)
     chosen = prepared.join(hits.select(id_col, "tax_idx"), id_col)
     vectors = features.transform(chosen, id_col, "processed_text")
-    training = materialize(
-        vectors.join(hits.select(id_col, F.col("tax_idx").cast("double").alias("label")), id_col),
-        "rescue-training",
+    numbered = hits.join(broadcast_if_small(classes), "tax_idx").select(
+        id_col, F.col("label").cast("double").alias("label")
     )
-    return RescueModel(features, _log_loss(max_iter).fit(training))
+    training = materialize(vectors.join(numbered, id_col), "rescue-training")
+    return RescueModel(features, _log_loss(max_iter).fit(training), classes)
 
 
 def best_class(probability: Column) -> Column:
@@ -104,7 +110,9 @@ def rescue(
         model.classifier.transform(vectors)
         .select(id_col, best_class(F.col("probability")).alias("_b"))
         .filter(F.col("_b.p") >= threshold)
-        .select(id_col, F.col("_b.label").alias("tax_idx"), F.col("_b.p").alias("p"))
+        .select(id_col, F.col("_b.label").alias("label"), F.col("_b.p").alias("p"))
+        .join(broadcast_if_small(model.classes), "label")
+        .select(id_col, "tax_idx", "p")
     )
 
 
@@ -189,7 +197,7 @@ def mine_keywords(
     id_col: str = "prompt_id",
     stopwords: list[str] = fv.ENGLISH_STOPWORDS,
     max_terms: int = fv.MINING_FEATURES,
-    max_iter: int = 30,
+    max_iter: int = MAX_STEPS,
 ) -> DataFrame:
     """Learn labels from raw texts and feed the telling terms back into the label table."""
     texts = labelled.withColumn("raw_text", F.coalesce("raw_text", F.lit("")))
@@ -329,7 +337,7 @@ def fit_intent(
     max_terms: int = fv.INTENT_FEATURES,
     c: float = 0.5,
     folds: int = 3,
-    max_iter: int = 30,
+    max_iter: int = MAX_STEPS,
     parallelism: int = 4,
 ) -> IntentModel:
     """Balanced linear SVMs over 1- to 3-grams with sigmoid calibration on held-out folds."""
@@ -352,7 +360,7 @@ def fit_intent(
         "intent-training",
     )
     k, n = classes.count(), training.count()
-    svm = LinearSVC(regParam=1.0 / (c * n), maxIter=max_iter, standardization=False, weightCol="weight")
+    svm = LinearSVC(regParam=1.0 / (c * n), maxIter=max_iter, tol=TOLERANCE, standardization=False, weightCol="weight")
     fitted = []
     for fold in range(folds):
         model = OneVsRest(classifier=svm, weightCol="weight", parallelism=parallelism).fit(
@@ -374,22 +382,20 @@ def discover_topics(
     id_col: str = "prompt_id",
     text_col: str = "processed_text",
     clusters: int = 20,
-    components: int = 20,
-    max_terms: int = 1000,
+    max_terms: int = 30_000,
     stopwords: list[str] = fv.ENGLISH_STOPWORDS,
     seed: int = 42,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(id, cluster)`` and ``(cluster, n, name)``: reduced TF-IDF vectors, k-means, named by terms.
+    """``(id, cluster)`` and ``(cluster, n, name)``: k-means over sparse TF-IDF vectors of length one, named by terms.
 
-    ``max_terms`` bounds the covariance matrix of the reduction.
+    Only the cluster centres are dense: ``clusters`` times at most ``max_terms`` numbers.
     """
     features = TextFeatures.fit(texts, text_col, words_only(2, stopwords), max_terms)
     vectors = materialize(features.transform(texts, id_col, text_col), "topic-vectors")
-    reduced = PCA(k=min(components, features.size), inputCol="features", outputCol="_r").fit(vectors)
     assigned = materialize(
-        KMeans(k=clusters, seed=seed, featuresCol="_r", predictionCol="cluster")
-        .fit(reduced.transform(vectors))
-        .transform(reduced.transform(vectors))
+        KMeans(k=clusters, seed=seed, predictionCol="cluster")
+        .fit(vectors)
+        .transform(vectors)
         .select(id_col, "cluster"),
         "topics",
     )

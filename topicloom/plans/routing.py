@@ -60,13 +60,17 @@ def route(
     index: LabelIndex,
     rescued: DataFrame | None = None,
     id_col: str = "prompt_id",
+    hits: DataFrame | None = None,
     **options,
 ) -> DataFrame:
     """Every prepared prompt with its label, ``route`` and ``score``.
 
-    ``rescued`` holds ``(id, tax_idx)`` that a model found for texts without a hit.
+    ``rescued`` holds ``(id, tax_idx)`` that a model found for texts without a hit,
+    ``hits`` the official hits where they are known already.
     """
-    hits = official_hits(prepared, index, id_col, **options).withColumn("route", F.lit("official"))
+    if hits is None:
+        hits = official_hits(prepared, index, id_col, **options)
+    hits = hits.withColumn("route", F.lit("official"))
     if rescued is not None:
         hits = hits.unionByName(
             rescued.select(id_col, "tax_idx", F.lit("rescued").alias("route")),
@@ -95,11 +99,11 @@ def route_english(
     """
     english, _ = language.split_english(language.route_languages(prompts, profiles, id_col))
     prepared = prepare(materialize(gates.garbage_gate(english), "english"), gate=False)
-    rescued = None
+    hits = rescued = None
     if rescue_rows is not None:
         hits = materialize(official_hits(prepared, index, id_col, **options), "hits")
         rescued = rescue_rows(prepared, hits)
-    return route(prepared, index, rescued, id_col, **options)
+    return route(prepared, index, rescued, id_col, hits, **options)
 
 
 def label_mapping(routed: DataFrame, labels: DataFrame) -> DataFrame:

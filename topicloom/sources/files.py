@@ -160,9 +160,9 @@ def read_categorised(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, CATEGORISED_SCHEMA)
 
 
-def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """``(term, english)`` from a JSON object file."""
-    whole = spark.read.text(path, wholetext=True)
+def read_dictionary(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """``(term, english)`` from a file with one JSON object, or with one object per line."""
+    whole = spark.read.text(path, wholetext=not lines)
     entries = F.from_json("value", "map<string,string>")
     return whole.select(F.explode(entries).alias("term", "english"))
 
