@@ -291,5 +291,11 @@ def test_pipeline_stages(spark, docs, rows, empty):
     ids = [r.doc_id for r in first.collect()]
     assert len([i for i in ids if i is not None]) == len(set(ids) - {None}) and 37 not in ids and 0 in ids
     assert p.passage_dedup(spark, docs, "").count() == len(rows)
+    names = ["score", "lang_pred", "component_id", "fp", "n_bytes", "kept_sha256", "size", "target", "source_size", "_s", "_e", "_id", "_v", "_n", "_key", "_cut", "_passes"]
+    clashing = docs.select("*", *[F.lit(f"own {n}").alias(n) for n in names])
+    for _, stage in p.STAGES[:-1]:
+        out = stage(spark, clashing, "")
+        assert out.columns == clashing.columns
+        assert out.count() > 0 and out.filter(" OR ".join(f"`{n}` <> 'own {n}'" for n in names)).count() == 0
     for _, stage in p.STAGES:
         assert stage(spark, empty, "").count() == 0

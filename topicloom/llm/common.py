@@ -22,6 +22,11 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     )
 
 
+def apart(documents: DataFrame, *read: str) -> DataFrame:
+    """``documents`` with all columns but those ``read`` named by position, so that no other name meets theirs."""
+    return documents.toDF(*[c if c in read else f"column_{i}_" for i, c in enumerate(documents.columns)])
+
+
 def class_sample(labelled: DataFrame, label: str, rows: int, key: str = "doc_id") -> DataFrame:
     """At most ``rows`` rows of ``(key, label)``, spread evenly over the labels by a hash of the key.
 

@@ -8,7 +8,8 @@ times that of the language among its own.
 A null text, and one without a letter, gets ``und`` and score 0, as does every text when
 there is nothing to learn from.  Rows without a language are not learned from but
 predicted like the others; repeated rows get equal results; an empty table gives an
-empty table; a null id is never held out.  Columns of other names are not read.
+empty table; a null id is never held out.  Columns of other names are not read; those
+named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -149,6 +150,7 @@ def identify(documents: DataFrame, model: LanguageModel | None) -> DataFrame:
     """``documents`` with ``lang_pred`` and ``score`` behind its columns."""
     from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+    documents = documents.drop("lang_pred", "score")
     schema = StructType([*documents.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from topicloom.llm.common import WORD
+from topicloom.llm.common import WORD, apart
 from topicloom.plans.bounds import materialize
 
 KEY_BITS = 63
@@ -136,8 +136,11 @@ def mix_documents(documents: DataFrame, weights: Sequence[float] = (5, 2, 1), sh
     """The mix itself, with the columns of ``documents``: a row per pass.
 
     The document at a source's cut gives its leading words only, so that the source
-    meets its budget to the word.  ``n_chars`` is kept true where it exists.
+    meets its budget to the word.  ``n_chars`` is kept true where it exists; columns of
+    any other name pass through as they are.
     """
+    names = documents.columns
+    documents = apart(documents, "doc_id", "text", "source", "n_chars")
     rows = materialize(keyed(documents, seed), "mix")
     cuts = materialize(source_cuts(rows, source_targets(rows, weights, share, most)), "mix-cuts")
     text = F.col("text")
@@ -163,4 +166,4 @@ def mix_documents(documents: DataFrame, weights: Sequence[float] = (5, 2, 1), sh
     )
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(is_part, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*documents.columns)
+    return out.select(*documents.columns).toDF(*names)
