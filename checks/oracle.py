@@ -266,8 +266,8 @@ ORACLE["non_english_tagged"] = (
     f"{_routed} SELECT prompt_id, '[' || language || '] ' || raw_text AS value FROM routed WHERE language <> 'en'"
 )
 ORACLE["lang_counts"] = f"{_routed} SELECT language, count(*) AS n FROM routed GROUP BY 1"
-ORACLE["unicode_noise"] = f"""{with_(PROMPTS)}
-SELECT DISTINCT ch FROM (SELECT unnest(string_split(raw_text, '')) AS ch FROM prompts)
+ORACLE["unicode_noise"] = f"""{_routed}
+SELECT DISTINCT ch FROM (SELECT unnest(string_split(raw_text, '')) AS ch FROM routed WHERE language = 'en')
 WHERE unicode(ch) > 127 AND NOT regexp_matches(ch, '^[{S}]$')"""
 
 # --- terms ------------------------------------------------------------------

@@ -185,7 +185,8 @@ def lang_counts(spark, sf):
 
 @query
 def unicode_noise(spark, sf):
-    return language.unicode_noise(fx.prompts(spark, sf))
+    english, _ = language.split_english(_routed_languages(spark, sf))
+    return language.unicode_noise(english)
 
 
 # --- terms ------------------------------------------------------------------
@@ -400,7 +401,7 @@ def csv_roundtrip(spark, sf):
     rows = fx.prompts(spark, sf).select("prompt_id", quoted.alias("raw_text"))
     path = new_shared_path(spark, "csv")
     sinks.write_csv(rows, path)
-    return files.read_csv(spark, path, rows.schema)
+    return files.read_csv(spark, path, rows.schema, multi_line=True)
 
 
 @query

@@ -40,7 +40,7 @@ def test_required_columns(spark):
 def test_csv_quotes_round_trip(spark, tmp_path):
     rows = spark.createDataFrame([('say "hi", then', 'a\\b'), ("multi\nline", "x")], "a string, b string")
     sinks.write_csv(rows, str(tmp_path / "c"))
-    back = files.read_csv(spark, str(tmp_path / "c"), rows.schema)
+    back = files.read_csv(spark, str(tmp_path / "c"), rows.schema, multi_line=True)
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, rows.collect()))
 
 

@@ -130,10 +130,10 @@ def file_date(file_name: Column) -> Column:
     )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """CSV with header, doubled quotes and a declared schema.
 
-    Where no field holds a line break, ``multi_line=False`` lets Spark split large files.
+    Fields that hold line breaks need ``multi_line=True``; Spark cannot split such files.
     """
     return (
         spark.read.option("header", True)
@@ -146,7 +146,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
     """A label table with its row index ``tax_idx``, in file order."""
-    labels = read_csv(spark, path, LABEL_SCHEMA)
+    labels = read_csv(spark, path, LABEL_SCHEMA, multi_line=True)
     order = F.row_number().over(W.orderBy("_pos"))
     return labels.withColumn("_pos", F.monotonically_increasing_id()).select(
         (order - 1).alias("tax_idx"), *labels.columns
