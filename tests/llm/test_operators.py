@@ -337,3 +337,14 @@ def test_near_dedup_keeps_the_first_of_each_group_of_similar_texts(spark, empty)
     got = collections.Counter((x.doc_id, x.text or "") for x in p.near_dedup(spark, docs, "").collect())
     assert got == want and sum(want.values()) < len(data) - 30
     assert near.groups(empty).count() == 0
+
+
+def test_suffix_dedup_keeps_hot_passages_of_repeated_rows(spark, monkeypatch):
+    share_package(spark)
+    monkeypatch.setattr(suffix_dedup, "HOT_SEGMENTS", 1)
+    r = random.Random(6)
+    text = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    shared = text(90)
+    data = [(i, text(150) + shared + text(150)) for i in range(4)]
+    docs = spark.createDataFrame([*data, *data], "doc_id long, text string").coalesce(1)
+    assert [x.n_removed for x in suffix_dedup.dedup(docs).collect()] == [0] * 8
