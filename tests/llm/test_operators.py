@@ -348,3 +348,12 @@ def test_suffix_dedup_keeps_hot_passages_of_repeated_rows(spark, monkeypatch):
     data = [(i, text(150) + shared + text(150)) for i in range(4)]
     docs = spark.createDataFrame([*data, *data], "doc_id long, text string").coalesce(1)
     assert [x.n_removed for x in suffix_dedup.dedup(docs).collect()] == [0] * 8
+
+
+def test_search_ranks_each_query_row_by_itself(spark):
+    share_package(spark)
+    docs = spark.createDataFrame([(i, f"alpha {'x ' * i}" if i < 6 else f"beta {'y ' * i}") for i in range(12)], "doc_id long, text string")
+    asked = [(0, "alpha"), (0, "alpha"), (0, "beta"), (1, "alpha")]
+    got = search.top_k(spark.createDataFrame(asked, "doc_id long, text string").coalesce(1), docs, 4).collect()
+    want = [(0, k + 1, k) for k in range(4)] * 2 + [(0, k + 1, 6 + k) for k in range(4)] + [(1, k + 1, k) for k in range(4)]
+    assert sorted((x.query_id, x.rank, x.doc_id) for x in got) == sorted(want)
