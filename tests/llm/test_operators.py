@@ -357,3 +357,10 @@ def test_search_ranks_each_query_row_by_itself(spark):
     got = search.top_k(spark.createDataFrame(asked, "doc_id long, text string").coalesce(1), docs, 4).collect()
     want = [(0, k + 1, k) for k in range(4)] * 2 + [(0, k + 1, 6 + k) for k in range(4)] + [(1, k + 1, k) for k in range(4)]
     assert sorted((x.query_id, x.rank, x.doc_id) for x in got) == sorted(want)
+
+
+@pytest.mark.parametrize("word", ["İstanbul", "क़क", "İstanbul.", "éte", "ﬁn", "straße!"])
+def test_word_tokens_take_letters_that_normalisation_splits(word):
+    own = packing.WordTokens(f"{TOKENIZERS}/word_bpe_49k.json")
+    text = f"one {word} two. {word}, été"
+    assert np.frombuffer(own.encode([text.encode()])[0], "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids

@@ -42,10 +42,10 @@ class WordTokens:
     """Ids of a text by a tokenizer file whose pieces never cross white space.
 
     The tokenizer sees each distinct word once while it is remembered; a text's ids are
-    its words' ids joined.  Words go to the tokenizer many at a time.  A word of letters
-    is one piece and ends with one end-of-word id, a word of letters and closing marks
-    with two, which tells the words of a line apart again; all other words are set
-    apart by a special token.
+    its words' ids joined.  Words go to the tokenizer many at a time.  A word of ASCII letters
+    is one piece and ends with one end-of-word id, a word of such letters and closing marks
+    with two, which tells the words of a line apart again; all other words, also those of
+    other letters, which normalisation may split, are set apart by a special token.
     """
 
     BREAK = "<|startoftext|>"
@@ -71,7 +71,9 @@ class WordTokens:
         plain, marked, rest = [], [], []
         for w in words:
             text = w.decode()
-            if text.isalpha():
+            if not text.isascii():
+                rest.append(w)
+            elif text.isalpha():
                 plain.append(w)
             elif text.rstrip(self.MARKS).isalpha():
                 marked.append(w)
