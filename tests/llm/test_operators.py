@@ -364,3 +364,15 @@ def test_word_tokens_take_letters_that_normalisation_splits(word):
     own = packing.WordTokens(f"{TOKENIZERS}/word_bpe_49k.json")
     text = f"one {word} two. {word}, été"
     assert np.frombuffer(own.encode([text.encode()])[0], "<u4").tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_lm_scoring_runs_with_trigrams(monkeypatch):
+    from topicloom.llm import queries
+
+    orders = []
+    monkeypatch.setattr(queries.lm, "score", lambda documents, held_out, order=2: orders.append(order))
+    monkeypatch.setattr(queries, "table", lambda *_: None)
+    monkeypatch.setattr(queries.common, "remainder", lambda *_: 1)
+    monkeypatch.setattr(queries.F, "col", lambda name: name)
+    queries.QUERIES["op9_lm_scoring"].__closure__[0].cell_contents(None, "")
+    assert orders == [3]

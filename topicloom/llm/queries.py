@@ -73,7 +73,7 @@ def op8_language_id(spark, folder):
 
 
 def op9_lm_scoring(spark, folder):
-    return lm.score(table(spark, folder, "documents"), common.remainder(F.col("doc_id"), 5) == 1)
+    return lm.score(table(spark, folder, "documents"), common.remainder(F.col("doc_id"), 5) == 1, order=3)
 
 
 def op10_packing(spark, folder):
