@@ -7,7 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from topicloom.llm import chat, common, language_id, lm, mixing, packing, quality, search, simhash, suffix_dedup, toxicity
+from topicloom.llm import (
+    chat, common, language_id, lm, mixing, negatives, packing, quality, search, simhash, spelling, suffix_dedup, toxicity, warc,
+)
 from topicloom.session import share_package
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -80,6 +82,21 @@ def op10_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
+def op11_warc(spark, folder):
+    found = warc.round_trip(table(spark, folder, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op12_spelling(spark, folder):
+    return spelling.variants(table(spark, folder, "documents"))
+
+
+def op13_negatives(spark, folder):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.usable(table(spark, folder, "embeddings"), label=moved)
+    return negatives.hard_negatives(rows, F.col("id") % 100 == 0)
+
+
 def _ready(query: Callable) -> Callable:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         share_package(spark)
@@ -92,6 +109,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: _ready(f)
     for f in (
         op1_simhash, op2_chat, op3_suffix_dedup, op4_toxicity, op5_quality, op6_search, op7_mixing, op8_language_id,
-        op9_lm_scoring, op10_packing,
+        op9_lm_scoring, op10_packing, op11_warc, op12_spelling, op13_negatives,
     )
 }
