@@ -49,7 +49,6 @@ def words(documents: DataFrame, min_length: int = MIN_LENGTH, min_count: int = M
     return counted.filter(F.col("n") >= min_count)
 
 
-@F.pandas_udf("int")
 def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
     """How many code points two words share at the start."""
     return pd.Series([next((k for k, (x, y) in enumerate(zip(p, q)) if x != y), min(len(p), len(q))) for p, q in zip(a, b)])
@@ -78,7 +77,7 @@ def _edges(clean: DataFrame) -> DataFrame:
         F.bit_or(marks[0]).alias("m0"), F.bit_or(marks[1]).alias("m1"),
     )
     label = F.when(F.col("words") == 1, F.col("lo")).otherwise(F.substring("lo", F.lit(1), F.col("shared")))
-    edges = groups.withColumn("shared", _shared("lo", "hi")).withColumn("label", label).select(
+    edges = groups.withColumn("shared", F.pandas_udf(_shared, "int")("lo", "hi")).withColumn("label", label).select(
         "back", "node", "c", "label", F.concat("node", "label").alias("child"), (F.col("words") > 1).alias("open"),
         F.when(F.col("label") == F.col("lo"), F.col("lo_n")).alias("child_n"), "m0", "m1",
     )
