@@ -4,9 +4,9 @@ Each stage is a function of the session, the documents its predecessor kept and
 folder.  Its result is written as Parquet to the shared folder and read again as the
 documents of the next one.
 
-Null ids: the near-duplicate stage cannot name a representative without an id and keeps
-such rows.  Rows with one id and different texts are documents of their own; of rows that
-agree in id and text it keeps one.  An empty table passes all stages.  Extra columns of any
+Null ids: in the near-duplicate stage a row without an id stays only if all of its group have none.
+Rows with one id and different texts are documents of their own; of rows that agree in id and
+text one stays.  An empty table passes all stages.  Extra columns of any
 name pass all stages but the last.
 """
 
@@ -16,7 +16,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
-from topicloom.llm import language_id, mixing, near, packing, suffix_dedup
+from topicloom.llm import language_id, mixing, packing, simhash, suffix_dedup
 from topicloom.llm.common import apart
 from topicloom.llm.queries import TOKENIZERS, table
 from topicloom.plans.bounds import materialize
@@ -37,16 +37,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first row, by id and then by a hash of the text, of each group of near-duplicates.
+    """The first row, by id and then by a hash of id and text, of each group of SimHash near-duplicates.
 
-    Texts are linked at a similarity of 0.8 or more of their five-word shingles.
+    The operator runs with its own four words and four bits.  It gets a hash of id and text as the
+    row's id, so that rows with one id and different texts are told apart; only hashes and ids meet its groups.
     """
-    own = apart(docs, "doc_id", "text")
-    first = near.groups(own).select(F.col("id").alias("_id"), F.col("t").alias("_t"))
-    rows = own.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_t", F.xxhash64("text"))
-    order = W.partitionBy("_id", "_t").orderBy("_t")
-    kept = rows.join(first, ["_id", "_t"], "left_semi").withColumn("_n", F.row_number().over(order)).filter("_n = 1")
-    return kept.select(*own.columns).toDF(*docs.columns).union(docs.filter(F.col("doc_id").isNull()))
+    own = apart(docs, "doc_id", "text").withColumn("_key", F.xxhash64("doc_id", "text"))
+    groups = simhash.near_duplicates(own.select(F.col("_key").alias("doc_id"), "text")).select(F.col("doc_id").alias("_key"), "component_id")
+    ids = own.select("_key", F.struct(F.col("doc_id").isNull(), "doc_id", "_key").alias("place"))
+    first = groups.distinct().join(ids.distinct(), "_key").groupBy("component_id").agg(F.min("place").alias("place"))
+    kept = own.join(first.select("place._key"), "_key", "left_semi")
+    once = kept.withColumn("_n", F.row_number().over(W.partitionBy("_key").orderBy("_key"))).filter("_n = 1")
+    return once.drop("_key", "_n").toDF(*docs.columns)
 
 
 def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
