@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from topicloom.llm import (
     chat, common, language_id, lm, mixing, negatives, packing, quality, search, simhash, spelling, suffix_dedup, toxicity, warc,
 )
+from topicloom.llm.oracle import ORACLE  # noqa: F401
 from topicloom.session import share_package
 
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")

@@ -143,7 +143,8 @@ def neighbours(vocabulary: DataFrame, min_length: int = 1) -> DataFrame:
     No word may be shorter than ``min_length``: the walk starts where the first edit may be.
     """
     back = F.col("back")
-    start = F.when(back, min_length - min_length // 2).otherwise(min_length // 2)
+    # A start lies above all words, so that none of them is a first node.
+    start = F.when(back, min(min_length - min_length // 2, min_length - 1)).otherwise(min_length // 2)
     both = vocabulary.select("n", F.col("word").alias("own"), F.explode(F.array(F.lit(False), F.lit(True))).alias("back"))
     turned = both.withColumn("word", F.when(back, F.reverse("own")).otherwise(F.col("own")))
     states = turned.select(
