@@ -458,7 +458,31 @@ _DAILY = [*ROUTED_LANGUAGES, _DAILY_PREPARED, *[c for c in ROUTED if c[0] not in
 ORACLE["daily_counts"] = f"""{with_(*_DAILY)}
 SELECT date, category_name AS category, subcategory_name AS sub_category, count(*) AS count
 FROM labelled GROUP BY ALL"""
-ORACLE["daily_ingest"] = ORACLE["daily_counts"]
+RESCUE = [
+    ("wv", vocab("p_counts", "prepared", 10000)), ("ww", weighed("p_counts", "wv", "prompt_id")),
+    ("cc", char_counted("prompt_id", "processed_text", "prepared")),
+    ("cv", vocab("cc", "prepared", 10000)), ("cw", weighed("cc", "cv", "prompt_id")),
+    ("fw", "SELECT prompt_id, 'w' || term AS f, weight FROM ww UNION ALL SELECT prompt_id, 'c' || term, weight FROM cw"),
+    ("hn", "SELECT tax_idx, count(*) AS n FROM hits GROUP BY 1"),
+    ("co", "SELECT tax_idx, f, 6 * sum(weight) / any_value(n) AS coef FROM fw JOIN hits USING (prompt_id) "
+           "JOIN hn USING (tax_idx) GROUP BY tax_idx, f"),
+    ("ic", "SELECT tax_idx, n / (SELECT sum(n) FROM hn) - 3 AS b FROM hn"),
+    ("missed", "SELECT prompt_id FROM prepared WHERE prompt_id NOT IN (SELECT prompt_id FROM hits)"),
+    ("dots", "SELECT prompt_id, tax_idx, sum(weight * coef) AS m FROM missed JOIN fw USING (prompt_id) JOIN co USING (f) GROUP BY ALL"),
+    ("shares", "SELECT prompt_id, tax_idx, v, v / sum(v) OVER (PARTITION BY prompt_id) AS p FROM "
+               "(SELECT prompt_id, tax_idx, 1 / (1 + exp(-(coalesce(m, 0) + b))) AS v FROM missed CROSS JOIN ic "
+               "LEFT JOIN dots USING (prompt_id, tax_idx))"),
+    ("rescued", "SELECT * FROM (SELECT prompt_id, tax_idx, p FROM shares QUALIFY "
+                "row_number() OVER (PARTITION BY prompt_id ORDER BY round(v, 9) DESC, tax_idx) = 1) WHERE p >= 0.01"),
+]
+ORACLE["rescue_apply"] = f"""{with_(*ROUTED, *RESCUE)}
+SELECT prompt_id, tax_idx, round(p, 6) AS p FROM rescued"""
+ORACLE["daily_counts_rescued"] = f"""{with_(*_DAILY, *RESCUE)}
+SELECT date, coalesce(l.category_name, 'Other/Miscellaneous') AS category,
+       coalesce(l.subcategory_name, 'Uncategorized Garbage') AS sub_category, count(*) AS count
+FROM prepared LEFT JOIN (SELECT prompt_id, tax_idx FROM hits UNION ALL SELECT prompt_id, tax_idx FROM rescued) f USING (prompt_id)
+LEFT JOIN taxonomy l USING (tax_idx) GROUP BY ALL"""
+ORACLE["daily_ingest"] = ORACLE["daily_counts_rescued"]
 ORACLE["daily_totals_rescued"] = f"""{with_(*_DAILY)}
 SELECT date, count(*) AS count FROM labelled GROUP BY date"""
 ORACLE["dictionary_roundtrip"] = """
@@ -792,6 +816,25 @@ SELECT quality, count(*) AS n,
        round((SELECT count(*) FROM documents JOIN labels USING (doc_id))
              / ((SELECT count(DISTINCT quality) FROM documents JOIN labels USING (doc_id)) * count(*)), 6) AS weight
 FROM documents JOIN labels USING (doc_id) GROUP BY quality"""
+_NEWTON = [
+    ("cal", "SELECT CAST(doc_id % 3 AS INTEGER) AS fold, c, lang = (['de', 'en', 'es', 'fr'])[c + 1] AS own, "
+            "((doc_id * (7919 * (c + 3))) % 1000) / 500 - 1 + CASE WHEN lang = (['de', 'en', 'es', 'fr'])[c + 1] "
+            "THEN 0.8::DOUBLE ELSE 0 END AS m FROM documents CROSS JOIN (SELECT unnest([0, 1, 2, 3]) AS c) "
+            "WHERE lang IN ('de', 'en', 'es', 'fr')"),
+    ("size", "SELECT fold, c, count(*) FILTER (own) AS pos, count(*) FILTER (NOT own) AS neg FROM cal GROUP BY ALL"),
+    ("aim", "SELECT fold, c, m, CASE WHEN own THEN (pos + 1) / (pos + 2) ELSE 1 / (neg + 2) END AS t "
+            "FROM cal JOIN size USING (fold, c)"),
+    ("s0", "SELECT fold, c, 0::DOUBLE AS a, ln((pos + 1) / (neg + 1)) AS b FROM size"),
+    *[
+        (f"s{k + 1}", "SELECT fold, c, a - (hbb * ga - hab * gb) / (haa * hbb - hab * hab) AS a, "
+         "b - (haa * gb - hab * ga) / (haa * hbb - hab * hab) AS b FROM (SELECT fold, c, any_value(a) AS a, any_value(b) AS b, "
+         "sum((p - t) * m) AS ga, sum(p - t) AS gb, sum(p * (1 - p) * m * m) AS haa, sum(p * (1 - p) * m) AS hab, "
+         f"sum(p * (1 - p)) AS hbb FROM (SELECT *, 1 / (1 + exp(-(a * m + b))) AS p FROM aim JOIN s{k} USING (fold, c)) GROUP BY fold, c)")
+        for k in range(4)
+    ],
+]
+ORACLE["intent_calibrate"] = f"""{with_(*_NEWTON)}
+SELECT fold, CAST(c AS INTEGER) AS label, round(a, 6) AS slope, round(b, 6) AS offset FROM s4"""
 ORACLE["keyword_rank"] = f"""{with_(*PURITY,
     ("r", "SELECT *, row_number() OVER (PARTITION BY subcategory_name ORDER BY round(weight, 9) DESC, term) AS place "
           "FROM q_centroids"),

@@ -9,6 +9,7 @@ from topicloom.functions import fixed_values as fv, text as tx
 from topicloom.operators import (
     curation, gates, language, learning, quality, report, similarity as sim, terms,
 )
+from topicloom.operators.features import TextFeatures
 from topicloom.operators.similarity import LabelIndex
 from topicloom.plans import routing
 from topicloom.plans.bounds import materialize
@@ -350,6 +351,55 @@ def daily_counts(spark, sf):
     return report.daily_counts(routed)
 
 
+def _given_model(stopwords):
+    """A model with given coefficients, one class against the rest, that SQL can follow.
+
+    Six times the mean vector of a label's hits, and its share of the hits less three as intercept.
+    """
+
+    def model_of(prepared, hits):
+        features = TextFeatures.fit(prepared, "processed_text", learning.word_and_char(stopwords), fv.RESCUE_FEATURES)
+        sizes = hits.groupBy("tax_idx").agg(F.count("*").alias("n"))
+        spread = prepared.select("prompt_id", "processed_text").repartition("prompt_id")
+        sums = (
+            features.weights(spread, "prompt_id", "processed_text")
+            .join(hits.select("prompt_id", "tax_idx"), "prompt_id")
+            .groupBy("tax_idx", "feature")
+            .agg(F.sum("weight").alias("s"))
+        )
+        coefficients = sums.join(sizes, "tax_idx").select(
+            "feature", F.col("tax_idx").alias("label"), (6 * F.col("s") / F.col("n")).alias("coef")
+        )
+        total = sizes.agg(F.sum("n").alias("n")).scalar()
+        intercepts = sizes.select(F.col("tax_idx").alias("label"), (F.col("n") / total - 3).alias("intercept"))
+        return learning.LinearModel(features, materialize(coefficients, "given"), materialize(intercepts, "given"))
+
+    return model_of
+
+
+@query
+def rescue_apply(spark, sf):
+    """Given coefficients on the prompts without a hit."""
+    index = _index(spark, sf)
+    prepared = materialize(_prepared(spark, sf).select("prompt_id", "processed_text"), "prepared")
+    hits = materialize(routing.official_hits(prepared, index), "hits")
+    model = _given_model(index.stopwords)(prepared, hits)
+    found = learning.rescue(prepared.join(hits, "prompt_id", "left_anti"), model)
+    return found.select("prompt_id", "tax_idx", F.round("p", 6).alias("p"))
+
+
+def _rescued_daily(index):
+    return learning.rescuer_with(_given_model(index.stopwords))
+
+
+@query
+def daily_counts_rescued(spark, sf):
+    """The whole daily run with rescue by given coefficients: counts per day and label."""
+    index = _index(spark, sf)
+    routed = routing.route_english(fx.prompts(spark, sf), _profiles(spark, sf), index, rescue_rows=_rescued_daily(index))
+    return report.daily_counts(routed)
+
+
 @query
 def daily_totals_rescued(spark, sf):
     """The daily run with rescue: rows per day, the same as without, as rescue moves rows between labels."""
@@ -361,8 +411,11 @@ def daily_totals_rescued(spark, sf):
 
 
 def flagship(spark, sf):
-    """Language, gate and label routing of every prompt, counted per label."""
-    routed = routing.route_english(fx.prompts(spark, sf), _profiles(spark, sf), _index(spark, sf))
+    """Language, gate, label routing and rescue of every prompt, counted per label."""
+    index = _index(spark, sf)
+    routed = routing.route_english(
+        fx.prompts(spark, sf), _profiles(spark, sf), index, rescue_rows=learning.rescuer(index.stopwords)
+    )
     return report.category_counts(routed)
 
 
@@ -654,7 +707,7 @@ def _rescued(spark, sf):
     )
     hits = materialize(routing.official_hits(prepared, index), "hits")
     model = learning.fit_rescue(prepared, hits, index.stopwords)
-    rescued = learning.rescue(prepared.join(hits, "prompt_id", "left_anti"), model)
+    rescued = learning.rescue(prepared.join(hits, "prompt_id", "left_anti"), model.linear)
     return prepared, hits, model, rescued
 
 
@@ -698,6 +751,20 @@ def class_weights(spark, sf):
     return found.withColumn("weight", F.round("weight", 6))
 
 
+@query
+def intent_calibrate(spark, sf):
+    """The sigmoids of three folds and four classes after four Newton steps, from given margins."""
+    langs = ["de", "en", "es", "fr"]
+    label = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")).cast("int") - 1
+    noise = [F.pmod(F.col("doc_id") * (7919 * (c + 3)), F.lit(1000)) / 500 - 1 for c in range(4)]
+    margins = F.array(*[n + F.when(F.col("label") == c, 0.8).otherwise(0.0) for c, n in enumerate(noise)])
+    rows = fx.documents(spark, sf).filter(F.col("lang").isin(langs)).withColumn("label", label)
+    rows = rows.select((F.col("doc_id") % 3).cast("int").alias("fold"), "label", margins.alias("margins"))
+    found = learning.calibrate(rows, 3, 4, steps=4, tolerance=0.0)
+    values = [(i, c, round(float(a), 6), round(float(b), 6)) for i, fold in enumerate(found) for c, (a, b) in enumerate(fold)]
+    return spark.createDataFrame(values, "fold int, label int, slope double, offset double")
+
+
 def _intent(spark, sf):
     return learning.fit_intent(
         _labelled_documents(spark, sf), "doc_id", "text", "quality"
@@ -724,6 +791,19 @@ def intent_score(spark, sf):
     return model.score(fx.documents(spark, sf), "doc_id", "text")
 
 
+@query
+def intent_categories(spark, sf):
+    """The categorised set as stored, read again; a model of all its categories, and how it does on each."""
+    path = new_shared_path(spark, "categorised-csv")
+    sinks.write_csv(quality.mapped_only(_categorised(spark, sf)).select(*files.CATEGORISED_SCHEMA.names), path)
+    rows = materialize(files.read_categorised(spark, path).withColumn("prompt_id", F.monotonically_increasing_id()), "categorised")
+    model = learning.fit_intent(rows, "prompt_id", "truncated_prompt", "category_id", folds=2)
+    scored = model.score(rows, "prompt_id", "truncated_prompt").withColumnRenamed("category_id", "found")
+    met = rows.select("prompt_id", "category_id").join(scored, "prompt_id")
+    right = F.avg((F.col("found") == F.col("category_id")).cast("double"))
+    return met.groupBy("category_id").agg(F.count("*").alias("n"), right.alias("accuracy"), F.avg("p").alias("p"))
+
+
 @query
 def discover_topics(spark, sf):
     leftovers = _categorised(spark, sf).filter("route = 'other'")
@@ -734,10 +814,12 @@ def discover_topics(spark, sf):
 
 @query
 def daily_ingest(spark, sf):
-    """Dated prompt files through the file stream into the count store."""
+    """Dated prompt files through the file stream, with rescue, into the count store."""
     inbox, store = new_shared_path(spark, "inbox"), new_shared_path(spark, "store")
     fx.dated_inbox(fx.prompts(spark, sf), inbox)
     profiles, index = _profiles(spark, sf), _index(spark, sf)
     day = files.file_date(F.col("_metadata.file_path"))
-    daily_stream.run(spark, inbox, store, index, profiles, new_shared_path(spark, "stream"), date_of=day)
+    daily_stream.run(
+        spark, inbox, store, index, profiles, new_shared_path(spark, "stream"), date_of=day, rescue_rows=_rescued_daily(index)
+    )
     return sinks.read_counts(spark, store).select("date", "category", "sub_category", "count")

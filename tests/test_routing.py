@@ -159,7 +159,7 @@ def test_rescue_lowers_the_other_share(texts, index):
     found = routing.official_hits(rows, index).filter("tax_idx <> 3")
     model = learning.fit_rescue(rows, found, STOP, max_terms=500, max_iter=10)
     left = rows.join(found, "prompt_id", "left_anti")
-    rescued = learning.rescue(left, model)
+    rescued = learning.rescue(left, model.linear)
     routed = routing.route(rows, index, rescued)
     summary = routing.route_summary(routed).collect()[0]
     assert summary.n_other == 0 and summary.n_prompts == len(hits) + len(rest)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
@@ -56,12 +59,107 @@ def _log_loss(max_iter: int) -> LogisticRegression:
 
 
 @dataclass
-class RescueModel:
+class LinearModel:
+    """One linear score per class, as tables.
+
+    ``coefficients`` holds ``(feature, label, coef)`` without zeros, ``intercepts`` one row
+    ``(label, intercept)`` for every class.  ``link`` turns scores into shares: ``sigmoid`` for
+    classes fitted one against the rest, ``softmax`` for classes fitted together.
+    """
+
     features: TextFeatures
+    coefficients: DataFrame
+    intercepts: DataFrame
+    link: str = "sigmoid"
+
+    def best(self, texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        """``(id, label, p)`` of every text: the class with the largest share, the lower label at ties."""
+        spread = texts.select(id_col, text_col).repartition(id_col)
+        weights = self.features.weights(spread, id_col, text_col)
+        return best_classes(weights, self.coefficients, self.intercepts, spread.select(id_col), id_col, self.link)
+
+    def save(self, path: str) -> None:
+        self.features.save(f"{path}/vocabulary")
+        self.coefficients.write.mode("overwrite").parquet(f"{path}/coefficients")
+        self.intercepts.withColumn("link", F.lit(self.link)).write.mode("overwrite").parquet(f"{path}/intercepts")
+
+    @staticmethod
+    def load(spark: SparkSession, path: str, spaces: Spaces) -> "LinearModel":
+        features = TextFeatures.load(spark, f"{path}/vocabulary", spaces)
+        intercepts = spark.read.parquet(f"{path}/intercepts")
+        link = intercepts.select("link").first()[0]
+        return LinearModel(features, spark.read.parquet(f"{path}/coefficients"), intercepts.drop("link"), link)
+
+
+def best_classes(
+    weights: DataFrame, coefficients: DataFrame, intercepts: DataFrame, ids: DataFrame, id_col: str, link: str = "sigmoid"
+) -> DataFrame:
+    """``(id, label, p)``: the class with the largest share of each text's class values.
+
+    A class value is the sigmoid (or, for ``softmax``, the exponential) of the sum of weight times
+    coefficient and the intercept; shares are values over their sum.  Only classes that share a term with the text
+    are summed row by row: all others stand at their intercepts, whose values and order are
+    known beforehand.  Where ``weights`` and ``ids`` are spread by id nothing is shuffled.
+    """
+    value = {"sigmoid": lambda m: 1 / (1 + F.exp(-m)), "softmax": F.exp}[link]
+    # In descending order of value: by a rounded key, so that ties go by label wherever sums were added up.
+    key = lambda v, label: F.struct((-F.round(v, 9)).alias("k"), label.alias("label"), v.alias("v"))
+    base = intercepts.select("label", "intercept", value(F.col("intercept")).alias("_v0"))
+    scored = (
+        weights.join(broadcast_if_small(coefficients), "feature")
+        .groupBy(id_col, "label")
+        .agg(F.sum(F.col("weight") * F.col("coef")).alias("_m"))
+        .join(broadcast_if_small(base), "label")
+        .withColumn("_v", value(F.col("_m") + F.col("intercept")))
+    )
+    met = scored.groupBy(id_col).agg(
+        F.sum(F.col("_v") - F.col("_v0")).alias("_more"),
+        F.min(key(F.col("_v"), F.col("label"))).alias("_met"),
+        F.collect_list("label").alias("_seen"),
+    )
+    total = base.agg(F.sum("_v0").alias("v")).scalar()
+    order = base.agg(F.sort_array(F.collect_list(key(F.col("_v0"), F.col("label")))).alias("o")).scalar()
+    unmet = F.get(F.filter("_order", lambda x: ~F.array_contains(F.col("_seen"), x.label)), F.lit(0))
+    best = F.when(F.col("_met").isNull(), F.get("_order", F.lit(0))).otherwise(F.least("_met", F.coalesce(unmet, "_met")))
+    return (
+        ids.join(met.hint("merge"), id_col, "left")
+        .withColumns({"_order": order, "_total": total})
+        .withColumn("_best", best)
+        .select(id_col, "_best.label", (F.col("_best.v") / (F.col("_total") + F.coalesce("_more", F.lit(0.0)))).alias("p"))
+    )
+
+
+@dataclass
+class RescueModel:
+    linear: LinearModel
     classifier: LogisticRegressionModel
     #: ``(tax_idx, label)`` of the labels that have a hit; the classifier knows no others.
     classes: DataFrame
 
+    @property
+    def features(self) -> TextFeatures:
+        return self.linear.features
+
+
+def linear_tables(
+    classifier: LogisticRegressionModel, features: TextFeatures, classes: DataFrame, class_col: str
+) -> LinearModel:
+    """A fitted classifier as tables, its labels named by ``class_col``.
+
+    Its coefficients are on the driver, labels times vocabulary cap; those that are not zero go out as Arrow columns.
+    """
+    spark = classes.sparkSession
+    matrix = classifier.coefficientMatrix.toArray()
+    label, feature = np.nonzero(matrix)
+    columns = {
+        "place": pa.array(label, pa.int32()), "feature": pa.array(feature, pa.int32()), "coef": pa.array(matrix[label, feature], pa.float64()),
+    }
+    names = broadcast_if_small(classes.select(F.col("label").alias("place"), F.col(class_col).alias("label")))
+    coefficients = materialize(spark.createDataFrame(pa.table(columns)).join(names, "place").drop("place"), "coefficients")
+    shifts = [(i, float(b)) for i, b in enumerate(classifier.interceptVector.toArray())]
+    intercepts = spark.createDataFrame(shifts, "place int, intercept double").join(names, "place").drop("place")
+    return LinearModel(features, coefficients, materialize(intercepts, "intercepts"), "softmax")
+
 
 def fit_rescue(
     prepared: DataFrame,
@@ -85,44 +183,40 @@ def fit_rescue(
         id_col, F.col("label").cast("double").alias("label")
     )
     training = materialize(vectors.join(numbered, id_col), "rescue-training")
-    return RescueModel(features, _log_loss(max_iter).fit(training), classes)
-
-
-def best_class(probability: Column) -> Column:
-    """``struct<p, label>`` of the most probable class, the lower label at ties."""
-    return tx.let(
-        vector_to_array(probability),
-        lambda p: F.struct(
-            F.array_max(p).alias("p"), (F.array_position(p, F.array_max(p)) - 1).cast("int").alias("label")
-        ),
-    )
+    classifier = _log_loss(max_iter).fit(training)
+    return RescueModel(linear_tables(classifier, features, classes, "tax_idx"), classifier, classes)
 
 
 def rescue(
     leftovers: DataFrame,
-    model: RescueModel,
+    model: LinearModel,
     id_col: str = "prompt_id",
     threshold: float = fv.RESCUE_THRESHOLD,
 ) -> DataFrame:
-    """``(id, tax_idx, p)`` of the leftovers whose best label reaches the threshold."""
-    vectors = model.features.transform(leftovers, id_col, "processed_text")
-    return (
-        model.classifier.transform(vectors)
-        .select(id_col, best_class(F.col("probability")).alias("_b"))
-        .filter(F.col("_b.p") >= threshold)
-        .select(id_col, F.col("_b.label").alias("label"), F.col("_b.p").alias("p"))
-        .join(broadcast_if_small(model.classes), "label")
-        .select(id_col, "tax_idx", "p")
-    )
+    """``(id, tax_idx, p)`` of the leftovers whose best label reaches the threshold; labels are ``tax_idx`` values."""
+    found = model.best(leftovers, id_col, "processed_text").filter(F.col("p") >= threshold)
+    return found.withColumnRenamed("label", "tax_idx")
 
 
 def rescuer(stopwords: list[str], id_col: str = "prompt_id", **options):
     """The rescue step for ``plans.routing.route_english``: learn from the hits, label the rest."""
 
+    def model_of(prepared: DataFrame, hits: DataFrame) -> LinearModel | None:
+        fitted = fit_rescue(prepared, hits, stopwords, id_col, **options)
+        return fitted and fitted.linear
+
+    return rescuer_with(model_of, id_col)
+
+
+def rescuer_with(model_of: Callable[[DataFrame, DataFrame], LinearModel | None], id_col: str = "prompt_id"):
+    """The rescue step with the model that ``model_of(prepared, hits)`` gives, such as a stored one."""
+
     def rescue_rows(prepared: DataFrame, hits: DataFrame) -> DataFrame | None:
+        model = model_of(prepared, hits)
+        if model is None:
+            return None
         leftovers = prepared.join(hits.select(id_col), id_col, "left_anti")
-        model = fit_rescue(prepared, hits, stopwords, id_col, **options)
-        return None if model is None else rescue(leftovers, model, id_col).select(id_col, "tax_idx")
+        return rescue(leftovers, model, id_col).select(id_col, "tax_idx")
 
     return rescue_rows
 
@@ -224,39 +318,54 @@ def balanced_weights(labelled: DataFrame, class_col: str) -> DataFrame:
     return sizes.withColumn("weight", total / (k * F.col("n")))
 
 
-def _sigmoids(margins: DataFrame, k: int) -> np.ndarray:
-    """Slope and offset of one sigmoid per class, all from one logistic fit.
+def calibrate(margins: DataFrame, folds: int, classes: int, steps: int = 30, tolerance: float = 1e-9) -> np.ndarray:
+    """Slope and offset of a sigmoid for every fold and class: an array ``folds x classes x 2``.
 
-    ``margins`` holds ``(label, margins)`` of held-out rows.  Class c uses only the
-    features 2c (margin) and 2c + 1 (one), so the fits do not touch each other.
-    Targets are smoothed by the class sizes, as rows of both labels with weights.
+    ``margins`` holds ``(fold, label, margins)`` of held-out rows, one margin per class.  Targets are smoothed by the
+    class sizes of the fold.  All folds and classes take each Newton step together: it needs six sums of
+    each, which are added up before anything moves, and only those come to the driver.  A step that does not
+    lower a pair's loss is halved.  A class without rows in a fold keeps slope 0.
     """
-    rows = margins.select("label", F.posexplode("margins").alias("c", "m")).withColumn(
-        "own", (F.col("label") == F.col("c")).cast("double")
-    )
-    sizes = rows.groupBy("c").agg(F.sum("own").alias("_pos"), F.count("*").alias("_all"))
-    target = F.when(F.col("own") == 1, (F.col("_pos") + 1) / (F.col("_pos") + 2)).otherwise(
-        1 / (F.col("_all") - F.col("_pos") + 2)
-    )
-    entries = F.array(
-        F.struct((2 * F.col("c")).alias("feature"), F.col("m").alias("weight")),
-        F.struct((2 * F.col("c") + 1).alias("feature"), F.lit(1.0).alias("weight")),
-    )
-    both = F.explode(
-        F.array(
-            F.struct(F.lit(1.0).alias("label"), F.col("_target").alias("weight")),
-            F.struct(F.lit(0.0).alias("label"), (1 - F.col("_target")).alias("weight")),
+    spark = margins.sparkSession
+    long = margins.select("fold", "label", F.posexplode("margins").alias("c", "m")).withColumn("own", F.col("label") == F.col("c"))
+    pos, neg = np.zeros((folds, classes)), np.zeros((folds, classes))
+    for r in long.groupBy("fold", "c").agg(F.count_if("own").alias("pos"), F.count_if(~F.col("own")).alias("neg")).collect():
+        pos[r.fold, r.c], neg[r.fold, r.c] = r.pos, r.neg
+    high, low = (pos + 1) / (pos + 2), 1 / (neg + 2)
+    value, shift = np.zeros((folds, classes, 2)), np.zeros((folds, classes, 2))
+    value[..., 1] = np.log((pos + 1) / (neg + 1))
+    best, at = np.full((folds, classes), np.inf), value.copy()
+    for _ in range(steps + 1):
+        rows = [
+            (i, c, float(at[i, c, 0]), float(at[i, c, 1]), float(high[i, c]), float(low[i, c]))
+            for i in range(folds) for c in range(classes)
+        ]
+        now = F.broadcast(spark.createDataFrame(rows, "fold int, c int, a double, b double, high double, low double"))
+        z, target = F.col("a") * F.col("m") + F.col("b"), F.when(F.col("own"), F.col("high")).otherwise(F.col("low"))
+        part = long.join(now, ["fold", "c"]).select("fold", "c", "m", z.alias("z"), target.alias("t"))
+        share = 1 / (1 + F.exp(-F.col("z")))
+        part = part.withColumns({"d": share - F.col("t"), "h": share * (1 - share)})
+        # log(1 + e^z) - t z, safe for large z
+        loss = F.greatest("z", F.lit(0.0)) + F.log1p(F.exp(-F.abs("z"))) - F.col("t") * F.col("z")
+        m, d, h = F.col("m"), F.col("d"), F.col("h")
+        sums = part.groupBy("fold", "c").agg(
+            F.sum(loss).alias("loss"), F.sum(d * m).alias("ga"), F.sum(d).alias("gb"),
+            F.sum(h * m * m).alias("haa"), F.sum(h * m).alias("hab"), F.sum(h).alias("hbb"),
         )
-    )
-    training = materialize(
-        rows.join(broadcast_if_small(sizes), "c")
-        .withColumn("_target", target)
-        .select(sparse_vector(2 * k, entries).alias("features"), both.alias("_x"))
-        .select("features", "_x.label", "_x.weight"),
-        "calibration",
-    )
-    fit = LogisticRegression(weightCol="weight", fitIntercept=False, standardization=False, maxIter=100)
-    return fit.fit(training).coefficients.toArray().reshape(k, 2)
+        moved = 0.0
+        for r in sums.collect():
+            i = r.fold, r.c
+            if r.loss > best[i] + 1e-12 * abs(best[i]):
+                shift[i] /= 2  # back to half of the last step
+            else:
+                best[i], value[i] = r.loss, at[i]
+                hessian = np.array([[r.haa, r.hab], [r.hab, r.hbb]]) + 1e-12 * np.eye(2)
+                shift[i] = -np.linalg.solve(hessian, [r.ga, r.gb])
+            at[i] = value[i] + shift[i]
+            moved = max(moved, float(np.abs(shift[i]).max()))
+        if moved <= tolerance:
+            break
+    return value
 
 
 @dataclass
@@ -361,17 +470,19 @@ def fit_intent(
     )
     k, n = classes.count(), training.count()
     svm = LinearSVC(regParam=1.0 / (c * n), maxIter=max_iter, tol=TOLERANCE, standardization=False, weightCol="weight")
-    fitted = []
+    models, held_out = [], []
     for fold in range(folds):
         model = OneVsRest(classifier=svm, weightCol="weight", parallelism=parallelism).fit(
             training.filter(F.col("_fold") != fold)
         )
-        held_out = model.transform(training.filter(F.col("_fold") == fold)).select(
-            F.col("label").cast("int").alias("label"),
-            vector_to_array("rawPrediction").alias("margins"),
+        models.append(model)
+        held_out.append(
+            model.transform(training.filter(F.col("_fold") == fold)).select(
+                F.lit(fold).alias("fold"), F.col("label").cast("int").alias("label"), vector_to_array("rawPrediction").alias("margins")
+            )
         )
-        fitted.append((model, _sigmoids(held_out, k)))
-    return IntentModel(features, classes, fitted)
+    sigmoids = calibrate(materialize(reduce(DataFrame.unionByName, held_out), "margins"), folds, k)
+    return IntentModel(features, classes, list(zip(models, sigmoids)))
 
 
 # --- topic discovery --------------------------------------------------------------
