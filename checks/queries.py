@@ -797,7 +797,7 @@ def intent_categories(spark, sf):
     path = new_shared_path(spark, "categorised-csv")
     sinks.write_csv(quality.mapped_only(_categorised(spark, sf)).select(*files.CATEGORISED_SCHEMA.names), path)
     rows = materialize(files.read_categorised(spark, path).withColumn("prompt_id", F.monotonically_increasing_id()), "categorised")
-    model = learning.fit_intent(rows, "prompt_id", "truncated_prompt", "category_id", folds=2)
+    model = learning.fit_intent(rows, "prompt_id", "truncated_prompt", "category_id", max_terms=5000, folds=2, max_iter=8)
     scored = model.score(rows, "prompt_id", "truncated_prompt").withColumnRenamed("category_id", "found")
     met = rows.select("prompt_id", "category_id").join(scored, "prompt_id")
     right = F.avg((F.col("found") == F.col("category_id")).cast("double"))

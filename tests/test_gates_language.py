@@ -69,3 +69,18 @@ def test_router_takes_another_detector(texts):
 def test_noise_characters(texts):
     found = language.unicode_noise(texts("a–b é", "é→"))
     assert [r.ch for r in found.collect()] == ["é", "–", "→"]
+
+
+def test_texts_are_moved_once_and_read_once(spark, texts):
+    profiles = language.learn_profiles(spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de")], "text string, lang string"))
+    rows = texts("the dog", "die katze", "", None, "123").withColumn("other", F.lit(1)).union(
+        spark.createDataFrame([(None, "the cat", 2)], "prompt_id long, raw_text string, other int")
+    )
+    routed = language.route_languages(rows, profiles)
+    found = [(r.raw_text, r.language) for r in routed.collect()]
+    assert sorted(found, key=str) == sorted(
+        [("the dog", "en"), ("die katze", "de"), ("", "unknown"), (None, "unknown"), ("123", "unknown"), ("the cat", "unknown")], key=str
+    )
+    plan = spark._jvm.PythonSQLUtils.explainString(routed._jdf.queryExecution(), "simple")
+    final = plan.split("== Initial Plan")[0]
+    assert final.count("Exchange hashpartitioning(_key") == 2 and final.count("ReusedExchange") >= 1
