@@ -16,11 +16,11 @@ from pyspark.ml.classification import (
     OneVsRestModel,
 )
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from topicloom.functions import fixed_values as fv, text as tx
-from topicloom.operators import curation, terms
+from topicloom.operators import curation, reduction, terms
 from topicloom.operators.features import Spaces, TextFeatures, sparse_vector
 from topicloom.plans.bounds import broadcast_if_small, materialize
 
@@ -496,13 +496,20 @@ def discover_topics(
     max_terms: int = 30_000,
     stopwords: list[str] = fv.ENGLISH_STOPWORDS,
     seed: int = 42,
+    rank: int = 100,
 ) -> tuple[DataFrame, DataFrame]:
-    """``(id, cluster)`` and ``(cluster, n, name)``: k-means over sparse TF-IDF vectors of length one, named by terms.
+    """``(id, cluster)`` and ``(cluster, n, name)``: k-means over TF-IDF rows reduced to ``rank`` directions, named by terms.
 
-    Only the cluster centres are dense: ``clusters`` times at most ``max_terms`` numbers.
+    Reduced rows have length one; a text without a known term is a zero row.
     """
     features = TextFeatures.fit(texts, text_col, words_only(2, stopwords), max_terms)
-    vectors = materialize(features.transform(texts, id_col, text_col), "topic-vectors")
+    known = features.weights(texts.select(id_col, text_col).repartition(id_col), id_col, text_col)
+    reduced, found = reduction.reduce_rows(known, id_col, features.size, min(rank, features.size), seed=seed)
+    zeros = F.array_repeat(F.lit(0.0), found.directions.shape[1])
+    vectors = materialize(
+        texts.select(id_col).join(reduced, id_col, "left").select(id_col, array_to_vector(F.coalesce("reduced", zeros)).alias("features")),
+        "topic-vectors",
+    )
     assigned = materialize(
         KMeans(k=clusters, seed=seed, predictionCol="cluster")
         .fit(vectors)
