@@ -798,16 +798,53 @@ MERGE = [
 ]
 ORACLE["taxonomy_self_similarity"] = f"""{with_(*MERGE)}
 SELECT category_name, a, b, round(sim, 6) AS sim FROM ms WHERE round(sim, 9) >= 0.05"""
-ORACLE["anchor_merge"] = f"""{with_(*MERGE,
-    ("both_ways", "SELECT a AS gone, b AS kept, sim FROM ms UNION ALL SELECT b, a, sim FROM ms"),
-    ("best", "SELECT gone, kept FROM both_ways WHERE gone IN (SELECT tax_idx FROM m WHERE NOT is_core) "
-             "AND kept IN (SELECT tax_idx FROM m WHERE is_core) AND round(sim, 9) > 0.08 "
-             "QUALIFY row_number() OVER (PARTITION BY gone ORDER BY round(sim, 9) DESC, kept) = 1"),
-    ("grown", "SELECT kept, array_to_string(list_sort(list_distinct(flatten(list(string_split(keywords, ' '))))), ' ') AS words "
-              "FROM (SELECT kept, keywords FROM best JOIN m ON gone = tax_idx UNION ALL "
-              "SELECT DISTINCT kept, keywords FROM best JOIN m ON kept = tax_idx) GROUP BY kept"))}
-SELECT tax_idx, subcategory_name, coalesce(words, keywords) AS keywords FROM m LEFT JOIN grown ON kept = tax_idx
-WHERE tax_idx NOT IN (SELECT gone FROM best)"""
+
+
+def consolidated(anchor: float, limit: int | None) -> str:
+    """One merge per category and step, everything weighed anew in each."""
+    crowded = f"n > {limit}" if limit is not None else "false"
+    return f"""{with_(TAXONOMY, MERGE[1]).replace("WITH ", "WITH RECURSIVE ", 1)},
+st AS (
+  SELECT 0 AS k, tax_idx, category_name, is_core, subcategory_name, keywords FROM m
+  UNION ALL
+  (WITH c AS ({counted("tax_idx", "keywords", "st", 1)}),
+  sizes AS (SELECT category_name, count(*) AS n FROM st GROUP BY 1),
+  raw AS (
+    SELECT tax_idx, category_name, term, tf * (ln((1 + n) / (1 + count(*) OVER (PARTITION BY category_name, term))) + 1) AS w
+    FROM c JOIN st USING (tax_idx) JOIN sizes USING (category_name)),
+  wt AS (SELECT tax_idx, category_name, term, w / sqrt(sum(w * w) OVER (PARTITION BY tax_idx)) AS weight FROM raw),
+  dots AS (
+    SELECT x.category_name, x.tax_idx AS a, y.tax_idx AS b, round(sum(x.weight * y.weight), 9) AS sim FROM wt x
+    JOIN wt y ON x.category_name = y.category_name AND x.term = y.term AND x.tax_idx < y.tax_idx GROUP BY ALL),
+  met AS (
+    SELECT d.*, n, p.is_core AS ac, q.is_core AS bc, p.subcategory_name AS an, q.subcategory_name AS bn FROM dots d
+    JOIN st p ON p.tax_idx = a JOIN st q ON q.tax_idx = b JOIN sizes s ON s.category_name = d.category_name),
+  every AS (
+    SELECT p.category_name, p.tax_idx AS a, q.tax_idx AS b, p.is_core AS ac, q.is_core AS bc, p.subcategory_name AS an,
+           q.subcategory_name AS bn FROM st p JOIN st q ON p.category_name = q.category_name AND p.tax_idx < q.tax_idx
+    JOIN sizes s ON s.category_name = p.category_name
+    WHERE NOT (p.is_core AND q.is_core) AND {crowded} AND p.category_name IN (SELECT category_name FROM wt)),
+  cand AS (
+    SELECT category_name, 0 AS kind, 0.0::DOUBLE AS s, CASE WHEN ac THEN a ELSE b END AS x, CASE WHEN ac THEN b ELSE a END AS y, a, b, ac, bc, an, bn
+    FROM met WHERE ac <> bc AND sim > {anchor}
+    UNION ALL SELECT category_name, 1, -sim, a, b, a, b, ac, bc, an, bn FROM met WHERE NOT (ac AND bc) AND {crowded}
+    UNION ALL SELECT category_name, 2, 0.0::DOUBLE, a, b, a, b, ac, bc, an, bn FROM every),
+  pick AS (
+    SELECT category_name, CASE WHEN bc THEN b ELSE a END AS kept, CASE WHEN bc THEN a ELSE b END AS gone,
+      CASE WHEN bc THEN bn WHEN ac THEN an
+           WHEN len(string_split(bn, ' ')) < len(string_split(an, ' ')) THEN bn ELSE an END AS name
+    FROM cand QUALIFY row_number() OVER (PARTITION BY category_name ORDER BY kind, s, x, y) = 1)
+  SELECT st.k + 1, st.tax_idx, st.category_name, st.is_core,
+    CASE WHEN st.tax_idx = kept THEN name ELSE st.subcategory_name END,
+    CASE WHEN st.tax_idx = kept THEN array_to_string(list_sort(list_distinct(list_concat(
+      string_split(st.keywords, ' '), string_split(g.keywords, ' ')))), ' ') ELSE st.keywords END
+  FROM st JOIN pick ON pick.category_name = st.category_name JOIN st g ON g.tax_idx = gone WHERE st.tax_idx <> gone)
+), last AS (SELECT * FROM st QUALIFY k = max(k) OVER (PARTITION BY category_name))
+"""
+
+
+ORACLE["anchor_merge"] = f"{consolidated(0.08, None)} SELECT tax_idx, subcategory_name, keywords FROM last"
+ORACLE["compress_to_n"] = f"{consolidated(0.2, 12)} SELECT tax_idx, category_name, subcategory_name, keywords FROM last"
 
 # --- models -----------------------------------------------------------------------
 

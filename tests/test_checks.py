@@ -6,7 +6,7 @@ from checks.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 ROWS_ONLY = {
-    "compress_to_n", "rescue_model", "rescue_sweep", "keyword_mining", "intent_train", "intent_score", "intent_categories",
+    "rescue_model", "rescue_sweep", "keyword_mining", "intent_train", "intent_score", "intent_categories",
     "discover_topics",
 }
 QUICK = [

@@ -292,142 +292,110 @@ def _apply_merges(labels: DataFrame, merges: DataFrame) -> DataFrame:
     )
 
 
-def anchor_merges(
-    labels: DataFrame, weights: DataFrame, threshold: float = fv.ANCHOR_SIMILARITY
-) -> DataFrame:
-    """``(gone, kept)``: every non-core row strictly above the threshold to its closest core row."""
-    core = labels.select("tax_idx", "is_core")
-    pairs = similar_labels(weights, threshold).filter(F.round("sim", 9) > threshold)
-    both = pairs.select(F.col("a").alias("gone"), F.col("b").alias("kept"), "sim").unionByName(
-        pairs.select(F.col("b").alias("gone"), F.col("a").alias("kept"), "sim")
-    )
-    return (
-        both.join(core.filter("NOT is_core").select(F.col("tax_idx").alias("gone")), "gone", "left_semi")
-        .join(core.filter("is_core").select(F.col("tax_idx").alias("kept")), "kept", "left_semi")
-        .groupBy("gone")
-        .agg(F.max(F.struct(F.round("sim", 9).alias("s"), (-F.col("kept")).alias("k"))).alias("_m"))
-        .select("gone", (-F.col("_m.k")).alias("kept"))
-    )
-
-
-def anchor_merge(labels: DataFrame, threshold: float = fv.ANCHOR_SIMILARITY) -> DataFrame:
-    """One round of merging into core rows; ``labels`` carries ``is_core``."""
-    return _apply_merges(labels, anchor_merges(labels, label_weights(labels), threshold))
+def next_merges(labels: DataFrame, pairs: DataFrame, limit: int | None, anchor: float) -> DataFrame:
+    """``(category_name, gone, kept, name)``: the next merge of every category that has one.
 
-
-def compress_merges(
-    labels: DataFrame, weights: DataFrame, limit: int, threshold: float
-) -> DataFrame:
-    """``(gone, kept, name)``: pairs that are each other's closest, in categories above the limit.
-
-    Core rows never merge with each other.  A category gives up no more rows than
-    it has in excess, its most similar pairs first.
+    First comes the first core row, in table order, with a non-core row above ``anchor``, and the first such row.
+    A category without one and with more than ``limit`` rows merges its most similar pair, the
+    first in table order at ties, but never two core rows; where no allowed pair shares a word, its first pair.
+    A core row keeps its name, of two others the name with fewer words stays.
     """
-    excess = (
-        labels.groupBy("category_name")
-        .agg((F.count("*") - limit).alias("_excess"))
-        .filter("_excess > 0")
-    )
-    crowded = labels.join(excess, "category_name", "left_semi")
-    info = crowded.select(
-        "tax_idx", "is_core", "subcategory_name", F.size(tx.split_words(F.col("subcategory_name"))).alias("n")
-    )
-    a = info.select(*[F.col(c).alias(f"a_{c}") for c in info.columns])
-    b = info.select(*[F.col(c).alias(f"b_{c}") for c in info.columns])
-    pairs = (
-        similar_labels(weights.join(excess, "category_name", "left_semi"), threshold)
-        .join(a, F.col("a") == F.col("a_tax_idx"))
-        .join(b, F.col("b") == F.col("b_tax_idx"))
-        .filter("NOT (a_is_core AND b_is_core)")
-    )
-    best = F.struct(F.round("sim", 9).alias("s"), (-F.col("a")).alias("x"), (-F.col("b")).alias("y"))
-    ends = pairs.select(F.col("a").alias("end"), best.alias("p")).unionByName(
-        pairs.select(F.col("b").alias("end"), best.alias("p"))
-    )
-    mutual = (
-        ends.groupBy("end").agg(F.max("p").alias("p")).groupBy("p").count().filter("count = 2")
-        .select((-F.col("p.x")).alias("a"), (-F.col("p.y")).alias("b"))
-    )
-    order = W.partitionBy("category_name").orderBy(F.desc(F.round("sim", 9)), "a", "b")
-    chosen = (
-        pairs.join(mutual, ["a", "b"])
-        .withColumn("_rank", F.row_number().over(order))
-        .join(excess, "category_name")
-        .filter("_rank <= _excess")
-    )
-    swap = F.col("b_is_core")
-    shorter = ~F.col("a_is_core") & ~swap & (F.col("b_n") < F.col("a_n"))
-    return chosen.select(
-        F.when(swap, F.col("a")).otherwise(F.col("b")).alias("gone"),
-        F.when(swap, F.col("b")).otherwise(F.col("a")).alias("kept"),
-        F.when(swap | shorter, F.col("b_subcategory_name"))
-        .otherwise(F.col("a_subcategory_name"))
-        .alias("name"),
+    row = F.struct("tax_idx", "is_core", "subcategory_name")
+    a, b = (labels.select(F.col("tax_idx").alias(c), row.alias(f"_{c}")) for c in "ab")
+    sim = F.round("sim", 9)
+    sizes = labels.groupBy("category_name").agg(
+        F.count("*").alias("_n"), F.sort_array(F.collect_list(row)).alias("_rows")
+    )
+    met = pairs.join(a, "a").join(b, "b").join(sizes.select("category_name", "_n"), "category_name")
+    core = [F.col("_a.is_core"), F.col("_b.is_core")]
+    # In order of kind, of falling similarity where that decides, and of the table.
+    to_core = met.filter((core[0] != core[1]) & (sim > anchor)).select(
+        "category_name", F.lit(0).alias("kind"), F.lit(0.0).alias("s"), F.when(core[0], F.col("_a")).otherwise(F.col("_b")).alias("x"),
+        F.when(core[0], F.col("_b")).otherwise(F.col("_a")).alias("y"),
+    )
+    found = to_core
+    if limit is not None:
+        closest = met.filter(~(core[0] & core[1]) & (F.col("_n") > limit)).select(
+            "category_name", F.lit(1).alias("kind"), (-sim).alias("s"), F.col("_a").alias("x"), F.col("_b").alias("y")
+        )
+        first, others = F.get("_rows", F.lit(0)), F.slice("_rows", 2, F.size("_rows"))
+        partner = F.get(F.filter(others, lambda r: ~(first.is_core & r.is_core)), F.lit(0))
+        has_words = categories_with_words(labels)
+        strangers = sizes.filter((F.col("_n") > limit)).join(has_words, "category_name", "left_semi").select(
+            "category_name", F.lit(2).alias("kind"), F.lit(0.0).alias("s"), first.alias("x"), partner.alias("y")
+        ).filter("y is not null")
+        found = to_core.unionByName(closest).unionByName(strangers)
+    best = found.groupBy("category_name").agg(F.min(F.struct("kind", "s", "x", "y")).alias("_m")).select(
+        "category_name", F.col("_m.x").alias("x"), F.col("_m.y").alias("y")
+    )
+    swap = F.col("y.is_core")
+    words = [F.size(tx.split_words(F.col(f"{c}.subcategory_name"))) for c in "xy"]
+    shorter = ~F.col("x.is_core") & (words[1] < words[0])
+    return best.select(
+        "category_name",
+        F.when(swap, F.col("x.tax_idx")).otherwise(F.col("y.tax_idx")).alias("gone"),
+        F.when(swap, F.col("y.tax_idx")).otherwise(F.col("x.tax_idx")).alias("kept"),
+        F.when(swap | shorter, F.col("y.subcategory_name")).otherwise(F.col("x.subcategory_name")).alias("name"),
     )
 
 
-def leftover_merges(labels: DataFrame, limit: int) -> DataFrame:
-    """``(gone, kept, name)`` for crowded categories whose rows share no words at all.
+def mergeable_pairs(labels: DataFrame, weights: DataFrame, limit: int) -> DataFrame:
+    """``(category_name, a, b, sim)`` with a < b of the pairs that share a term and may merge.
 
-    With nothing to choose by, rows go in table order into the first core row, or
-    into the first row where there is none.
+    Those are core and other rows, and in categories above the limit also two others.
     """
-    rows = W.partitionBy("category_name")
-    name = F.struct(F.size(tx.split_words(F.col("subcategory_name"))), "tax_idx", "subcategory_name")
-    marked = (
-        labels.withColumn("_excess", F.count("*").over(rows) - limit)
-        .withColumn("_target", F.min(F.struct(~F.col("is_core"), "tax_idx", "subcategory_name")).over(rows))
-        .filter((F.col("_excess") > 0) & ~F.col("is_core") & (F.col("tax_idx") != F.col("_target.tax_idx")))
-        .withColumn("_rank", F.row_number().over(rows.orderBy("tax_idx")))
-        .filter("_rank <= _excess")
-    )
-    shortest = F.least(
-        F.min(name).over(rows),
-        F.struct(
-            F.size(tx.split_words(F.col("_target.subcategory_name"))),
-            F.col("_target.tax_idx"),
-            F.col("_target.subcategory_name"),
-        ),
+    sizes = labels.groupBy("category_name").agg((F.count("*") > limit).alias("_crowded"))
+    side = weights.join(labels.select("tax_idx", "is_core"), "tax_idx").join(sizes, "category_name")
+    a, b = (
+        side.select("category_name", "term", "_crowded", *[F.col(c).alias(f"{c}_{k}") for c in ("tax_idx", "is_core", "weight")])
+        for k in "ab"
     )
-    target_is_core = ~F.col("_target.col1")
-    return marked.select(
-        F.col("tax_idx").alias("gone"),
-        F.col("_target.tax_idx").alias("kept"),
-        F.when(target_is_core, F.col("_target.subcategory_name"))
-        .otherwise(shortest["subcategory_name"])
-        .alias("name"),
+    may = (F.col("is_core_a") != F.col("is_core_b")) | (F.col("_crowded") & ~F.col("is_core_a"))
+    met = a.join(b.drop("_crowded"), ["category_name", "term"]).filter((F.col("tax_idx_a") < F.col("tax_idx_b")) & may)
+    return met.groupBy("category_name", F.col("tax_idx_a").alias("a"), F.col("tax_idx_b").alias("b")).agg(
+        F.sum(F.col("weight_a") * F.col("weight_b")).alias("sim")
     )
 
 
+def categories_with_words(labels: DataFrame) -> DataFrame:
+    """The categories with at least one term in their keywords; the others have nothing to compare by."""
+    found = F.size(terms.word_terms(F.coalesce("keywords", F.lit("")), 1)) > 0
+    return labels.filter(found).select("category_name").distinct()
+
+
 def consolidate(
     labels: DataFrame,
-    limit: int = fv.MAX_LABELS_PER_CATEGORY,
+    limit: int | None = fv.MAX_LABELS_PER_CATEGORY,
     anchor: float = fv.ANCHOR_SIMILARITY,
-    min_similarity: float = 1e-6,
 ) -> DataFrame:
     """Merge labels until no non-core row is close to a core row and no category is above the limit.
 
-    Each round refits the vectors and merges in all categories at once; its result
-    goes to the shared folder, which cuts the lineage.  Core rows never merge with
-    each other, so a category keeps all of them even above the limit.
+    All categories take one merge a round, side by side, and weigh their terms anew after it, as each merge
+    changes what is close.  Only categories that merged go into the next round.  Core rows never merge with
+    each other, so a category keeps all of them even above the limit.  Without a ``limit`` rows merge into core rows only.
     """
+    active, done = materialize(labels, "labels"), []
     while True:
-        weights = materialize(label_weights(labels), "label-weights")
-        merges = materialize(anchor_merges(labels, weights, anchor), "merges")
+        weights = materialize(label_weights(active), "label-weights")
+        pairs = similar_labels(weights, anchor) if limit is None else mergeable_pairs(active, weights, limit)
+        merges = materialize(next_merges(active, pairs, limit, anchor), "merges")
+        rest = active.join(merges, "category_name", "left_anti").select(*labels.columns)
+        done.append(rest)
         if merges.isEmpty():
-            merges = materialize(compress_merges(labels, weights, limit, min_similarity), "merges")
-            if merges.isEmpty():
-                merges = materialize(leftover_merges(labels, limit), "merges")
-            if merges.isEmpty():
-                return labels
-            merges = merges.withColumn("name", F.min("name").over(W.partitionBy("kept")))
-            names = merges.select(F.col("kept").alias("tax_idx"), "name").distinct()
-            labels = (
-                labels.join(names, "tax_idx", "left")
-                .withColumn("subcategory_name", F.coalesce("name", "subcategory_name"))
-                .select(*labels.columns)
-            )
-        labels = materialize(_apply_merges(labels, merges.select("gone", "kept")), "labels")
+            return reduce(DataFrame.unionByName, done)
+        names = merges.select(F.col("kept").alias("tax_idx"), "name")
+        named = (
+            active.join(merges.select("category_name"), "category_name", "left_semi")
+            .join(names, "tax_idx", "left")
+            .withColumn("subcategory_name", F.coalesce("name", "subcategory_name"))
+            .select(*labels.columns)
+        )
+        active = materialize(_apply_merges(named, merges.select("gone", "kept")), "labels")
+
+
+def anchor_merge(labels: DataFrame, threshold: float = fv.ANCHOR_SIMILARITY) -> DataFrame:
+    """Merging into core rows alone; ``labels`` carries ``is_core``."""
+    return consolidate(labels, None, threshold)
 
 
 def renumber(labels: DataFrame, *order: str | Column) -> DataFrame:
