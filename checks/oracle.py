@@ -550,6 +550,11 @@ _GRADED = (
 )
 _GRADE = "CAST(CASE WHEN contains(p, 'lounge') AND contains(s, 'error') THEN 0 ELSE 1 END AS INTEGER)"
 ORACLE["auto_grade"] = f"{with_(PROMPTS, _GRADED)} SELECT prompt_id, {_GRADE} AS grade FROM graded"
+ORACLE["golden_flow"] = f"""{with_(*ROUTED, HITS, _STRATA,
+    ("chosen", "SELECT *, lower(truncated_prompt) AS p, lower(subcategory_name) AS s FROM strata ORDER BY draw, prompt_id LIMIT 500"))}
+SELECT category_name, count(*) AS n_rows, count(g) AS n_graded, round(avg(g), 6) AS accuracy, count(g) = 0 AS ungraded
+FROM (SELECT category_name, CASE WHEN prompt_id % 3 = 0 THEN prompt_id % 2 WHEN prompt_id % 5 <> 0 THEN {_GRADE} END AS g FROM chosen)
+GROUP BY category_name"""
 ORACLE["golden_accuracy"] = f"""{with_(PROMPTS, _GRADED)}
 SELECT count(*) AS n_rows, count(g) AS n_graded, round(avg(g), 6) AS accuracy, count(g) = 0 AS ungraded
 FROM (SELECT CASE WHEN prompt_id % 5 <> 0 THEN {_GRADE} END AS g FROM graded)"""

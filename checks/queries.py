@@ -500,6 +500,28 @@ def golden_set_capped(spark, sf):
     return quality.golden_set(_categorised(spark, sf), cap=60)
 
 
+@query
+def golden_flow(spark, sf):
+    """Built once, sent out, graded in two rounds, read back, merged, stored as the next version and measured."""
+    path, review = new_shared_path(spark, "golden"), new_shared_path(spark, "review")
+    golden = quality.golden_set(_categorised(spark, sf), cap=500, keep_id=True)
+    sinks.build_once(golden, path)
+    sinks.build_once(golden.limit(0), path)
+    stored, row = sinks.read_version(spark, path), F.col("prompt_id")
+    found = quality.auto_grade(F.col("prompt"), F.col("subcategory_name"))
+    first = stored.filter(row % 5 != 0).select("prompt_id", F.lit(1).alias("graded_at"), found.alias("grade"))
+    again = stored.filter(row % 3 == 0)
+    second = again.select("prompt_id", F.lit(2).alias("graded_at"), (row % 2).cast("int").alias("grade"))
+    other = again.filter(row % 6 == 0).select("prompt_id", F.lit(2).alias("graded_at"), F.lit(1).alias("grade"))
+    blank = stored.select("prompt_id", F.lit(3).alias("graded_at"), F.lit(None).cast("int").alias("grade"))
+    unknown = stored.select(-1 - row, F.lit(1), F.lit(0))
+    returned = first.union(second).union(other).union(blank).union(unknown)
+    sinks.write_csv(returned, review)
+    merged = quality.merge_grades(stored, files.read_csv(spark, review, returned.schema))
+    sinks.build_once(merged, path, version=2)
+    return quality.golden_accuracy(sinks.read_version(spark, path), by=("category_name",))
+
+
 @query
 def math_sample(spark, sf):
     return quality.uniform_sample(_prepared(spark, sf), 1000).select("prompt_id", "truncated_prompt")

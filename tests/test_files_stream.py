@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,3 +110,27 @@ def test_stream_equals_batch_and_takes_each_file_once(spark, tmp_path):
     rows = lambda store: sorted(tuple(r) for r in sinks.read_counts(spark, store).select("date", "category", "sub_category", "count").collect())
     assert rows(stream) == rows(batch) and len(rows(stream)) >= 4
     assert daily_stream.daily_file("/in", dt.date(2026, 6, 15)) == "/in/cleaned_prompts_2026-06-15.txt"
+
+
+def test_golden_set_is_built_once_and_grades_are_merged_by_rule(spark, tmp_path):
+    from topicloom.functions import fixed_values as fv
+    from topicloom.operators import quality
+
+    path = str(tmp_path / "golden")
+    schema = f"prompt_id long, prompt string, category_name string, `{fv.GRADE_COLUMN}` int"
+    golden = spark.createDataFrame([(i, f"p{i}", "C", 1 if i == 5 else None) for i in range(6)], schema)
+    with pytest.raises(ValueError):
+        sinks.read_version(spark, path)
+    # A build that broke off leaves files without the mark of a finished write.
+    golden.limit(1).write.parquet(f"{path}/version-1")
+    os.remove(f"{path}/version-1/_SUCCESS")
+    assert sinks.build_once(golden, path) and not sinks.build_once(golden.limit(0), path)
+    stored = sinks.read_version(spark, path)
+    assert stored.count() == 6
+    grades = [(0, 1, 1), (0, 2, 0), (1, 2, 1), (1, 2, 0), (2, 1, 1), (2, 3, None), (3, 1, 7), (99, 1, 0), (None, 1, 0)]
+    merged = quality.merge_grades(stored, spark.createDataFrame(grades, "prompt_id long, graded_at int, grade int"))
+    assert {r.prompt_id: r[fv.GRADE_COLUMN] for r in merged.collect()} == {0: 0, 1: 0, 2: 1, 3: None, 4: None, 5: 1}
+    assert sinks.build_once(merged, path, 2)
+    row = quality.golden_accuracy(sinks.read_version(spark, path)).first()
+    assert (row.n_rows, row.n_graded, row.accuracy) == (6, 4, 0.5)
+    assert sinks.read_version(spark, path, 1).filter(f"`{fv.GRADE_COLUMN}` is not null").count() == 1
