@@ -411,11 +411,9 @@ def daily_totals_rescued(spark, sf):
 
 
 def flagship(spark, sf):
-    """Language, gate, label routing and rescue of every prompt, counted per label."""
+    """Language, gate, label routing and rescue by given coefficients of every prompt, counted per label."""
     index = _index(spark, sf)
-    routed = routing.route_english(
-        fx.prompts(spark, sf), _profiles(spark, sf), index, rescue_rows=learning.rescuer(index.stopwords)
-    )
+    routed = routing.route_english(fx.prompts(spark, sf), _profiles(spark, sf), index, rescue_rows=_rescued_daily(index))
     return report.category_counts(routed)
 
 
