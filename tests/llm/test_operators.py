@@ -257,8 +257,37 @@ def test_em_finds_the_better_estimate():
     assert w[1] > 0.99 and w[2] < 0.01 and 0.4 < w[3] < 0.6 and w[4] == w[3]
 
 
-def test_search_equals_full_scan(docs, rows, empty, monkeypatch):
+@pytest.mark.parametrize("seed", range(6))
+def test_pruned_shards_equal_all_scores(seed, monkeypatch):
     monkeypatch.setattr(search, "BLOCK", 4)
+    r, n, vocab, k = np.random.default_rng(seed), 150, 60, 3
+    weights = 1 / np.arange(1, vocab + 1) ** 1.2
+    queries = [(np.sort(r.choice(vocab, 8, replace=False)), r.random(8) + 0.1) for _ in range(30)]
+    tops, found, every, scored = np.zeros((30, k)), [], [], 0
+    for first in range(0, 3 * n, n):
+        tf = r.poisson(weights / weights.sum() * r.integers(5, 60, n)[:, None])
+        term, doc = np.nonzero(tf.T)
+        row = {
+            "doc_ids": np.arange(first, first + n), "no_id": np.zeros(n, bool), "terms": np.arange(vocab, dtype=np.uint64),
+            "starts": np.searchsorted(term, np.arange(vocab + 1)), "owners": doc.astype(np.int32),
+            "times": tf.T[term, doc].astype(np.int32), "lengths": tf.sum(1).astype(np.int32),
+        }
+        shard = search.Shard({c: x.tobytes() for c, x in row.items()}, 30.0)
+        q, d, s = shard.search(queries, tops)
+        scored += len(q)
+        found += zip(q.tolist(), (-s).tolist(), (d + first).tolist())
+        impact = tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * tf.sum(1)[:, None] / 30))
+        for number, (t, w) in enumerate(queries):
+            own = np.round(impact[:, t] @ w, 6)
+            every += [(number, -own[x], x + first) for x in np.flatnonzero(own)]
+    best = lambda rows: [[x[2] for x in sorted(rows) if x[0] == q][:k] for q in range(30)]
+    assert best(found) == best(every) and scored < len(every) / 4
+
+
+def test_search_equals_full_scan(docs, rows, empty, monkeypatch):
+    # Many shards and query blocks.
+    monkeypatch.setattr(search, "SHARD_BYTES", 4000)
+    monkeypatch.setattr(search, "QUERY_BYTES", 8000)
     got = collections.defaultdict(list)
     for r in search.top_k(docs.filter("doc_id % 5 = 0"), docs, 4).collect():
         got[r.query_id].append((r.rank, r.doc_id, r.score))
