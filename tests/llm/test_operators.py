@@ -403,3 +403,18 @@ def test_lm_scoring_runs_with_trigrams(monkeypatch):
     monkeypatch.setattr(queries.F, "col", lambda name: name)
     queries.QUERIES["op9_lm_scoring"].__closure__[0].cell_contents(None, "")
     assert orders == [3]
+
+
+def test_long_system_turn_is_not_repeated(spark):
+    share_package(spark)
+    rows = [(size, 0, "system", "rule " * size) for size in (20, 3000)]
+    rows += [(size, t, ("assistant", "user")[t % 2], f"word{t} " * 30) for size in (20, 3000) for t in range(1, 60)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.format_windows(turns, f"{TOKENIZERS}/byte_bpe_50k.json", 512, 100).collect()
+    for size, repeated in ((20, True), (3000, False)):
+        own = [x for x in got if x.conv_id == size]
+        written = "".join(x.text[x.new_from :] for x in own)
+        assert [t for _, t in chat.read_turns(written)] == [r[3] for r in rows if r[0] == size]
+        assert [x.text.count(f"{chat.OPEN}system") for x in own] == [1] * len(own) if repeated else [1] + [0] * (len(own) - 1)
+        assert all(x.n_tokens <= 512 for x in own[0 if repeated else 1 :])
+        assert sum(len(x.text) for x in own) < 2 * len(written)

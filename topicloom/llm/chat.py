@@ -5,7 +5,8 @@ escaped reversibly.  With prefix sums of the turns' tokens a conversation is cut
 spans of whole turns that fit the budget.  Every window starts with the conversation's
 system turn, then repeats as many of the last turns before its span as the history
 budget holds, then brings the span.  The loss mask covers the assistant texts of the
-span alone, so repeated targets are masked and each is learned once.
+span alone, so repeated targets are masked and each is learned once.  A system turn above a
+half of the budget (``SYSTEM_SHARE``) stands in its own place only and is not repeated.
 
 Rows stream through in order of conversation and turn; a window's worth of turns is all
 that is held, so a conversation of any length passes.  A turn larger than the budget gets
@@ -68,6 +69,8 @@ def read_turns(formatted: str) -> list[tuple[str, str]]:
     return out
 
 
+#: A system turn above this part of the budget is not repeated.
+SYSTEM_SHARE = 2
 WINDOW_SCHEMA = (
     "conv_id long, window long, text string, new_from long, loss_starts array<long>, loss_ends array<long>, n_tokens long"
 )
@@ -91,7 +94,7 @@ class _Windows:
         # Prefix sums: a turn's own, from the conversation's start to the turn's, is its fifth field.
         if self.span and self.end + turn[3] - start + head > self.budget:
             done = self.window()
-        if self.number == 0 and not self.span and self.system is None and turn[0] == "system":
+        if self.number == 0 and not self.span and self.system is None and turn[0] == "system" and turn[3] * SYSTEM_SHARE <= self.budget:
             self.system = (*turn, self.end)
         self.span.append((*turn, self.end))
         self.end += turn[3]
@@ -107,7 +110,7 @@ class _Windows:
             start = self.span[0][4]
             again = [t for t in self.past if start - t[4] <= room]
             if self.system:
-                again = [self.system, *[t for t in again if t is not self.system]]
+                again = [self.system, *[t for t in again if t[4] != self.system[4]]]
         text, new_from = "".join(t[1] for t in again), sum(len(t[1]) for t in again)
         starts, ends, at = [], [], new_from
         for role, written, body, _, _ in self.span:
