@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from topicloom.functions import fixed_values as fv, text as tx
 from topicloom.operators import gates, language
 
 
@@ -84,3 +85,28 @@ def test_texts_are_moved_once_and_read_once(spark, texts):
     plan = spark._jvm.PythonSQLUtils.explainString(routed._jdf.queryExecution(), "simple")
     final = plan.split("== Initial Plan")[0]
     assert final.count("Exchange hashpartitioning(_key") == 2 and final.count("ReusedExchange") >= 1
+
+
+def test_sums_by_word_equal_the_join_with_all_windows(spark, monkeypatch):
+    profiles = language.learn_profiles(spark.createDataFrame([("the cat and the dog", "en"), ("der hund und die katze", "de")], "text string, lang string"))
+    rows = spark.createDataFrame(
+        [(1, "The DOG and\tcat"), (2, ""), (3, None), (4, "  hund  "), (4, "die katze"), (None, "the"), (5, " x　y z")],
+        "prompt_id long, raw_text string",
+    )
+    by_word = language.detect(rows, profiles)
+    plan = spark._jvm.PythonSQLUtils.explainString(by_word._jdf.queryExecution(), "simple")
+    assert "Generate" not in plan
+    monkeypatch.setattr(language, "HELD_GRAMS", 0)
+    joined = language.detect(rows, profiles)
+    assert sorted(map(tuple, by_word.collect())) == sorted(map(tuple, joined.collect()))
+
+
+def test_rules_by_scan_equal_rules_by_word(apply, spark):
+    rows = ["zz", "zzz", "a-zz.", "INGLÉS", "xinglés", "zz_", "é zz1", "bars", "", None]
+    word = lambda t: F.arrays_overlap(tx.word_set(t), F.array(*map(F.lit, dict.fromkeys(fv.GARBAGE_WORDS))))
+    assert apply(gates.has_garbage_word, *rows) == apply(word, *rows)
+    assert apply(tx.non_ascii_count, "é a€😀b", "", "abc", None) == [3, 0, 0, None]
+    plan = spark._jvm.PythonSQLUtils.explainString(
+        spark.range(1).select(gates.has_garbage_word(F.col("id").cast("string")))._jdf.queryExecution(), "simple"
+    )
+    assert "arrays_overlap" not in plan
