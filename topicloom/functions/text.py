@@ -107,7 +107,7 @@ def latin_word_set(text: Column) -> Column:
 
 
 def non_ascii_count(text: Column) -> Column:
-    return F.length(F.regexp_replace(text, r"[\x00-\x7F]", ""))
+    return F.length(F.regexp_replace(text, r"[\x00-\x7F]+", ""))
 
 
 def non_ascii_ratio(text: Column) -> Column:

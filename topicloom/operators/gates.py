@@ -11,8 +11,7 @@ from topicloom.functions import fixed_values as fv, text as tx
 
 def has_signature(text: Column) -> Column:
     """Any junk signature as a substring of the lower-case text."""
-    pattern = "|".join(re.escape(s) for s in fv.GARBAGE_SIGNATURES)
-    return F.lower(text).rlike(pattern)
+    return tx.contains_any(F.lower(text), fv.GARBAGE_SIGNATURES)
 
 
 def has_mojibake(text: Column) -> Column:
@@ -21,9 +20,9 @@ def has_mojibake(text: Column) -> Column:
 
 
 def has_garbage_word(text: Column) -> Column:
-    return F.arrays_overlap(
-        tx.word_set(text), F.array(*[F.lit(w) for w in dict.fromkeys(fv.GARBAGE_WORDS)])
-    )
+    """Any listed word between non-word characters: one scan, no list of the text's words."""
+    words = "|".join(re.escape(w) for w in dict.fromkeys(fv.GARBAGE_WORDS))
+    return F.lower(text).rlike(f"{tx.NOT_AFTER_WORD}(?:{words}){tx.NOT_BEFORE_WORD}")
 
 
 def has_many_non_ascii(text: Column) -> Column:
