@@ -95,3 +95,25 @@ def test_intent_model_of_four_classes(spark):
     scored = learning.fit_intent(df, "prompt_id", "raw_text", "subcategory_id", max_iter=10, folds=2).score(df, "prompt_id", "raw_text")
     met = scored.withColumnRenamed("subcategory_id", "found").join(df, "prompt_id").collect()
     assert len(met) == 120 and all(r.found == r.subcategory_id and 0.25 < r.p <= 1 for r in met)
+
+
+def test_held_coefficients_give_the_rows_of_the_joins(spark, monkeypatch):
+    odd = [(1, "sql join tables sql"), (1, "docker cluster"), (None, "sql select"), (2, None), (3, ""), (None, "pivot chart"), (4, "Chart of  sales")]
+    rows = frame(spark, TEXTS)
+    features = TextFeatures.fit(rows, "processed_text", learning.word_and_char(["the"]), 60)
+    coefficients = [(f, label, math.sin(f * label + label)) for f in range(features.size) for label in (3, 7, 8, 99) if (f + label) % 3]
+    model = learning.LinearModel(
+        features, spark.createDataFrame(coefficients, "feature int, label int, coef double"),
+        spark.createDataFrame([(8, 0.1), (3, 0.1), (7, 0.2), (11, 0.2)], "label int, intercept double"),
+    )
+    texts = spark.createDataFrame(odd, "prompt_id long, processed_text string")
+
+    def found():
+        plan = model.best(texts, "prompt_id", "processed_text")
+        text = plan.sparkSession._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "simple")
+        return sorted(((r.prompt_id, r.label, round(r.p, 9)) for r in plan.collect()), key=str), text
+
+    held, plan = found()
+    monkeypatch.setattr(learning, "HELD_COEFFICIENTS", 0)
+    joined, other = found()
+    assert len(held) == len(odd) and held == joined and "Generate" not in plan and "Generate" in other

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.classification import (
     LinearSVC,
     LogisticRegression,
@@ -17,24 +18,27 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F, types as T
 
 from topicloom.functions import fixed_values as fv, text as tx
-from topicloom.operators import curation, reduction, terms
+from topicloom.operators import curation, lookup, reduction, terms
 from topicloom.operators.features import Spaces, TextFeatures, sparse_vector
 from topicloom.plans.bounds import broadcast_if_small, materialize
+from topicloom.session import share_package
 
 ELASTIC_MIX = 0.15
 REGULARISATION = 1e-4
 #: A fit ends at the tolerance or after so many steps; pass a larger ``max_iter`` where time allows.
 TOLERANCE = 1e-3
 MAX_STEPS = 30
+#: Coefficients that every task may hold; a model with more is joined.
+HELD_COEFFICIENTS = 5_000_000
 
 
 def word_and_char(stopwords: list[str]) -> Spaces:
     return {
         "word": lambda text: terms.word_terms(text, 2, stopwords),
-        "char": lambda text: tx.char_ngrams(text),
+        "char": tx.char_ngrams,
     }
 
 
@@ -73,11 +77,42 @@ class LinearModel:
     link: str = "sigmoid"
 
     def best(self, texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
-        """``(id, label, p)`` of every text: the class with the largest share, the lower label at ties."""
+        """``(id, label, p)`` of every text: the class with the largest share, the lower label at ties.
+
+        Terms are looked up in tables that every task holds and added up where the shuffled texts are read; a model with
+        more than ``HELD_COEFFICIENTS`` is joined.
+        """
+        if self.coefficients.limit(HELD_COEFFICIENTS + 1).count() <= HELD_COEFFICIENTS:
+            return self._best_held(texts, id_col, text_col)
         spread = texts.select(id_col, text_col).repartition(id_col)
         weights = self.features.weights(spread, id_col, text_col)
         return best_classes(weights, self.coefficients, self.intercepts, spread.select(id_col), id_col, self.link)
 
+    def _best_held(self, texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
+        spark, spaces, link = texts.sparkSession, list(self.features.spaces.items()), self.link
+        share_package(spark)
+        whole = F.col("feature").cast("int").alias("feature")
+        shared = spark.sparkContext.broadcast([
+            self.features.vocab.select("space", "term", "idf", whole).toArrow(),
+            self.coefficients.select(whole, "label", F.col("coef").cast("double").alias("coef")).toArrow(),
+            self.intercepts.select("label", F.col("intercept").cast("double").alias("intercept")).sort("label").toArrow(),
+        ])
+        windowed = [space for space, found in spaces if found is tx.char_ngrams]
+        names = [space for space, _ in spaces]
+        text = F.col(text_col)
+        columns = [(F.lower(text) if space in windowed else found(text)).alias(f"_{i}") for i, (space, found) in enumerate(spaces)]
+        schema = T.StructType([
+            T.StructField(id_col, texts.schema[id_col].dataType),
+            T.StructField("label", self.intercepts.schema["label"].dataType),
+            T.StructField("p", T.DoubleType()),
+        ])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return _HeldModel(*shared.value, names, windowed, link).best(batches, schema.names)
+
+        spread = texts.select(id_col, text_col).repartition(id_col).sortWithinPartitions(id_col)
+        return spread.select(id_col, *columns).mapInArrow(run, schema)
+
     def save(self, path: str) -> None:
         self.features.save(f"{path}/vocabulary")
         self.coefficients.write.mode("overwrite").parquet(f"{path}/coefficients")
@@ -91,6 +126,61 @@ class LinearModel:
         return LinearModel(features, spark.read.parquet(f"{path}/coefficients"), intercepts.drop("link"), link)
 
 
+class _HeldModel:
+    """What a task makes of a model's tables; the same answers as :func:`best_classes`."""
+
+    def __init__(self, vocab: pa.Table, coefficients: pa.Table, intercepts: pa.Table, names: list[str], windowed: list[str], link: str):
+        self.value = {"sigmoid": lambda m: 1 / (1 + np.exp(-m)), "softmax": np.exp}[link]
+        self.labels = pa.concat_arrays(intercepts["label"].chunks) if intercepts.num_rows else pa.array([], intercepts.schema.field("label").type)
+        self.intercepts = intercepts["intercept"].to_numpy()
+        place = pc.fill_null(pc.index_in(coefficients["label"], value_set=self.labels), -1).to_numpy()
+        column, feature = place[place >= 0].astype(np.int64), coefficients["feature"].to_numpy()[place >= 0]
+        coef, of = coefficients["coef"].to_numpy()[place >= 0], vocab["space"].to_pylist()
+        self.spaces = []
+        for name in names:
+            own = vocab.filter(pa.array([s == name for s in of], pa.bool_()))
+            terms_, idf = own["term"].to_pylist(), own["idf"].to_numpy()
+            # The last place is that of a feature of no or another space.
+            number = np.full(max([-1, *vocab["feature"].to_pylist()]) + 2, -1)
+            number[own["feature"].to_numpy()] = np.arange(len(terms_))
+            term = number[np.minimum(feature, len(number) - 1)]
+            known = term >= 0
+            table = lookup.Table(len(self.labels), term[known], column[known], [coef[known]], idf, np.ones(len(idf)))
+            self.spaces.append((lookup.WindowCounts(terms_, 3, 5) if name in windowed else lookup.TermCounts(terms_), table))
+
+    def best(self, batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+        """``(id, label, p)`` for every row of ``(id, terms or lower-case text of each space)`` ordered by id."""
+        n, k = len(self.labels), len(self.spaces)
+
+        def sums(piece: pa.RecordBatch, group: np.ndarray, n_groups: int) -> np.ndarray:
+            # A row: products of each space, their squared lengths, the number of rows.
+            found = np.zeros((n_groups, k * n + k + 1))
+            # Rows without an id or a text have no terms.
+            there = np.flatnonzero([all(piece.column(i)[r].is_valid for i in range(k + 1)) for r in range(piece.num_rows)])
+            for i, (counts, table) in enumerate(self.spaces):
+                text, term, tf = counts.of(piece.column(i + 1).take(pa.array(there, pa.int64())))
+                own, of = table.own(term, tf), group[there[text]]
+                (found[:, i * n : (i + 1) * n],) = table.sums(of, term, [own], n_groups)
+                found[:, k * n + i] = table.squares(of, term, own, n_groups)
+            found[:, -1] = np.bincount(group, minlength=n_groups)
+            return found
+
+        def done(ids: pa.Array, sums: np.ndarray) -> pa.RecordBatch:
+            rows = np.repeat(np.arange(len(ids)), sums[:, -1].astype(np.int64))
+            own = ids.take(pa.array(rows, pa.int64()))
+            if not n:
+                return pa.RecordBatch.from_arrays([own, pa.nulls(len(rows), self.labels.type), pa.nulls(len(rows), pa.float64())], names=names)
+            squares = sums[:, k * n : k * n + k]
+            length = np.sqrt(np.where(squares > 0, squares, np.inf))
+            value = self.value(sum(sums[:, i * n : (i + 1) * n] / length[:, i : i + 1] for i in range(k)) + self.intercepts)
+            # Labels ascend, so that the lower one wins a tie.
+            best = np.argmax(np.round(value, 9), axis=1)
+            share = value[np.arange(len(best)), best] / value.sum(1)
+            return pa.RecordBatch.from_arrays([own, self.labels.take(pa.array(best[rows], pa.int64())), pa.array(share[rows])], names=names)
+
+        return lookup.by_id(batches, lookup.PIECE, sums, done)
+
+
 def best_classes(
     weights: DataFrame, coefficients: DataFrame, intercepts: DataFrame, ids: DataFrame, id_col: str, link: str = "sigmoid"
 ) -> DataFrame:

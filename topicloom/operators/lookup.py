@@ -22,6 +22,8 @@ from topicloom.session import share_package
 WORDS = 500_000
 #: Texts that are added up together, and how many products of a term and a table row are held at a time.
 PIECE, PRODUCTS = 512, 500_000
+#: Cells of a table that may be kept dense.
+DENSE_CELLS = 8_000_000
 #: White space as Java's ``(?U)\s`` knows it, but for the blank.
 OTHER_SPACE = re.compile("[\t-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
@@ -187,6 +189,21 @@ class WordCounts:
         return _counted(np.concatenate([text[one], text[:-1][two]]), np.concatenate([single[one], self.pairs[at[two], 1]]), self.n_terms)
 
 
+class TermCounts:
+    """Counts the known terms of term lists."""
+
+    def __init__(self, names: list[str]):
+        self.numbers = dict(zip(names, range(len(names))))
+
+    def of(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(text, term, tf)``; a null list has no terms."""
+        flat = found.flatten().dictionary_encode()
+        known = np.array([self.numbers.get(t, -1) for t in flat.dictionary.to_pylist()], np.int64)
+        term = known[flat.indices.to_numpy()] if len(flat) else np.zeros(0, np.int64)
+        text = np.repeat(np.arange(len(found)), found.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))
+        return _counted(text[term >= 0], term[term >= 0], len(self.numbers))
+
+
 class Table:
     """Rows ``(term, column, value, ...)`` ordered by term, for sums over the terms of a text.
 
@@ -198,6 +215,10 @@ class Table:
         self.n_columns, self.idf, self.norms = n_columns, idf, norms
         self.begin = np.searchsorted(term[order], np.arange(len(idf) + 1))
         self.column, self.values = column[order], [v[order] for v in values]
+        # A well-filled table of one value is kept dense.
+        self.dense, cells = None, len(idf) * n_columns
+        if len(values) == 1 and cells <= DENSE_CELLS and len(term) * 8 >= cells > 0:
+            self.dense = np.bincount(term * n_columns + column, values[0], cells).reshape(len(idf), n_columns)
 
     def own(self, term: np.ndarray, tf: np.ndarray) -> np.ndarray:
         return (1 + np.log(tf)) * self.idf[term]
@@ -207,6 +228,8 @@ class Table:
 
     def sums(self, group: np.ndarray, term: np.ndarray, factors: list[np.ndarray], n_groups: int) -> list[np.ndarray]:
         """For each factor and value the sums of their products, ``n_groups`` times columns; ``group`` ascends."""
+        if self.dense is not None:
+            return [self._dense_sums(group, term, factors[0], n_groups)]
         out = [np.zeros(n_groups * self.n_columns) for _ in factors]
         size = self.begin[term + 1] - self.begin[term]
         cuts = np.flatnonzero(np.diff(np.cumsum(size) // PRODUCTS, prepend=0)) if len(term) else []
@@ -220,6 +243,14 @@ class Table:
                 total[cells] += np.bincount(cell, np.repeat(factor[a:b], size[a:b]) * value[at], cells.stop - cells.start)
         return [total.reshape(n_groups, self.n_columns) for total in out]
 
+    def _dense_sums(self, group: np.ndarray, term: np.ndarray, factor: np.ndarray, n_groups: int) -> np.ndarray:
+        out, step = np.zeros((n_groups, self.n_columns)), max(1, PRODUCTS // self.n_columns)
+        for a in range(0, len(term), step):
+            own = group[a : a + step]
+            begin = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+            out[own[begin]] += np.add.reduceat(self.dense[term[a : a + step]] * factor[a : a + step, None], begin)
+        return out
+
 
 def run_starts(ids: pa.Array) -> np.ndarray:
     """True where an id differs from the one before; nulls are alike."""

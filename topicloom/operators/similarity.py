@@ -159,8 +159,11 @@ class LabelIndex:
     @cached_property
     def held(self):
         """The word space, its overlap side and the character space as a Spark broadcast; None when they have too many rows."""
+        # Cached one after the other: otherwise each plan repeats those it is made of.
+        if max(df.count() for df in (self.described, self.word, self.unigrams, self.char)) > BROADCAST_ROWS:
+            return None
         sides = self.word, self.word_side, self.char
-        if max(df.limit(BROADCAST_ROWS + 1).count() for df in sides) > BROADCAST_ROWS:
+        if self.word_side.limit(BROADCAST_ROWS + 1).count() > BROADCAST_ROWS:
             return None
         share_package(self.labels.sparkSession)
         return self.labels.sparkSession.sparkContext.broadcast([df.toArrow() for df in sides])
