@@ -377,6 +377,19 @@ def test_suffix_dedup_keeps_hot_passages_of_repeated_rows(spark, monkeypatch):
     assert [x.n_removed for x in suffix_dedup.dedup(docs).collect()] == [0] * 8
 
 
+def test_shard_puts_like_documents_side_by_side(spark):
+    share_package(spark)
+    r = np.random.default_rng(3)
+    rows = [(i, " ".join(f"{'ab'[i % 2]}{x}" for x in r.integers(0, 60, r.integers(5, 90)))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    (unit,) = search.units(docs, 1 << 20, True).collect()
+    ids = np.frombuffer(unit.doc_ids, np.int64)
+    assert sorted(ids.tolist()) == list(range(400))
+    assert np.frombuffer(unit.lengths, np.int32).tolist() == [len(rows[i][1].split()) for i in ids]
+    # Blocks then have words of one kind, but for those in which a group ends.
+    assert (ids[1:] % 2 != ids[:-1] % 2).sum() <= search.GROUPS
+
+
 def test_search_ranks_each_query_row_by_itself(spark):
     share_package(spark)
     docs = spark.createDataFrame([(i, f"alpha {'x ' * i}" if i < 6 else f"beta {'y ' * i}") for i in range(12)], "doc_id long, text string")
