@@ -71,6 +71,12 @@ def test_simhash_finds_all_pairs_up_to_the_distance(spark):
     assert found == {(a, b) for a in fps for b in fps if a < b and ((a ^ b) & mask).bit_count() <= 4}
 
 
+def test_simhash_index_is_not_broadcast_however_small_spark_takes_it(spark):
+    plan = simhash.links(spark.range(100).select(F.col("id").alias("fp")))
+    text = spark._jvm.PythonSQLUtils.explainString(plan._jdf.queryExecution(), "simple")
+    assert "SortMergeJoin" in text and "Broadcast" not in text
+
+
 def test_suffix_dedup_equals_brute_force(docs, rows, empty, monkeypatch):
     want, seen = {}, set()
     distinct = sorted({(math.inf if r[0] is None else r[0], r[1] or "") for r in rows})

@@ -95,7 +95,8 @@ def _first_open_bit(x: Column, distance: int) -> Column:
 def links(distinct: DataFrame, distance: int = 4) -> DataFrame:
     """``(a, b)``, a < b: all pairs of the distinct ``fp`` that differ in at most ``distance`` bits.
 
-    A pair may share many keys; it leaves the join under the first of them alone.
+    A pair may share many keys; it leaves the join under the first of them alone.  The index is never broadcast:
+    Spark sizes it without the rows that the explode makes of each fingerprint.
     """
     if not 2 <= distance <= 62:
         raise ValueError("distance must be from 2 to 62")
@@ -104,7 +105,8 @@ def links(distinct: DataFrame, distance: int = 4) -> DataFrame:
     x = F.col("a").bitwiseXOR(F.col("b"))
     near = (F.col("a") < F.col("b")) & (F.bit_count(x) <= distance)
     first = F.shiftrightunsigned("key", 33) == _first_open_bit(x, distance)
-    return left.join(right.withColumnRenamed("key", "_key"), (F.col("key") == F.col("_key")) & near & first).select("a", "b")
+    right = right.withColumnRenamed("key", "_key").hint("merge")
+    return left.join(right, (F.col("key") == F.col("_key")) & near & first).select("a", "b")
 
 
 def near_duplicates(documents: DataFrame, distance: int = 4, shingle: int = 4) -> DataFrame:
