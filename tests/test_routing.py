@@ -4,7 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from topicloom.operators import learning, report, similarity as sim
+from topicloom.operators import learning, report, similarity as sim, terms
 from topicloom.operators.similarity import LabelIndex
 from topicloom.plans import routing
 
@@ -151,6 +151,25 @@ def test_one_text_shuffle_in_the_plan(texts, index):
     assert own and all("REPARTITION_BY_COL" in l for l in own)
 
 
+def test_centroid_hits_weigh_texts_in_the_tasks(spark, index, monkeypatch):
+    words = ["sql join tables", "docker pod cluster", "pivot chart excel", "join select", "pod restart", "chart of sales", ""]
+    rows = [(i if i % 9 else None, f"{words[i % 7]} {words[i % 5]}") for i in range(60)] + [(1, "sql again"), (2, None)]
+    frame = spark.createDataFrame(rows, "prompt_id long, processed_text string")
+
+    def found():
+        return sorted(((r.prompt_id, r.tax_idx, round(r.score, 9)) for r in routing.centroid_hits(frame, index, confident=0.05).collect()), key=str)
+
+    def joined(texts, id_col, text_col, spaces, sublinear, max_terms):
+        own = terms.tfidf(texts, id_col, spaces["word"](F.col(text_col)), sublinear, max_terms)
+        return own.withColumn("space", F.lit("word"))
+
+    with monkeypatch.context() as m:
+        m.setattr(terms, "held_tfidf", joined)
+        want = found()
+    monkeypatch.setattr(terms, "tfidf", lambda *a: pytest.fail("a row per term of every text before the vocabulary is known"))
+    assert want and found() == want
+
+
 def test_rescue_lowers_the_other_share(texts, index):
     hits = ["sql select join table now", "docker container pod kubernetes", "select sql table join rows",
             "kubernetes pod docker cluster", "excel pivot chart sales", "pivot chart excel month"] * 3

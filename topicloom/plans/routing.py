@@ -143,9 +143,8 @@ def centroid_hits(
     """
     prepared = prepared.select(id_col, "processed_text")
     hits = materialize(official_hits(prepared, index, id_col), "hits")
-    weights = terms.tfidf(
-        prepared, id_col, terms.word_terms(F.col("processed_text"), 2, index.stopwords), True, max_terms
-    )
+    space = {"word": terms.Words(2, tuple(index.stopwords))}
+    weights = terms.held_tfidf(prepared, id_col, "processed_text", space, True, max_terms).drop("space")
     sure = hits.filter(F.col("score") >= confident).select(id_col, "tax_idx")
     centroids = quality.centroids(weights, sure, "tax_idx", id_col)
     length = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(W.partitionBy("tax_idx")))
